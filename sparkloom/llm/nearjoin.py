@@ -1,14 +1,20 @@
 """Exact Jaccard joins of programs over runs of three tokens (problems 1 and 5).
 
 Documents with the same set of runs form a class, named by a hash of the set; the join works on
-classes, so copies cost nothing. Pivots are singleton sets {s}: of those, a document is nearest to
-its own runs, ties in the order (rarest first), which makes its home cell. The window of a document
-are the first ``n - ceil(t*n) + 1`` pivots in that order: two documents with similarity t or more
-meet in the cell of their first common run, which lies in both windows. A cell that a count sketch
-calls crowded is divided again by the next pivot of each window (one place longer, as two runs
-must be common). What meets and passes the size and position bounds is compared exactly.
-
-Defined cases: null texts and texts with fewer than `min_tokens` tokens take no part; equal sets
+classes, so copies cost nothing. Distances are 1 - similarity, a metric; near is at most EPS.
+
+Regions. Pivot documents, the densest of a bounded sample, create Voronoi regions: a document
+within RADIUS of its nearest pivot is at home in that pivot's region and replicated to region k if
+``d(k) <= d(nearest) + 2 * EPS`` and ``d(k) <= RADIUS + EPS``; all others are at home in the outer
+region, to which documents with ``d(nearest) > RADIUS - EPS`` are replicated. By the triangle
+inequality, two near documents share a region. Most documents are far from every pivot, whatever
+the pivots, so a region is joined recursively by finer ones: those of singleton sets {s}. Of these, a
+document is nearest to its own runs, ties in the order rarest first, and its window are its first
+``n - ceil(t*n) + 1`` of them: near documents share the cell of their first common run. A cell that
+a count sketch calls crowded is divided again by the next pivot of each window (one place longer,
+as two runs must be common). What meets and passes the size and place bounds is compared exactly.
+
+Defined cases: null texts and texts with fewer than `min_tokens` tokens take no part; equal sources
 are near; empty tables give no rows; other columns of the input are not read.
 """
 
@@ -144,15 +150,79 @@ def _entries(key: np.ndarray, n: np.ndarray, level: np.ndarray, crowded: int, th
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+SAMPLE, PIVOTS, PIVOT_RUNS = 1000, 32, 2000  # documents sampled, most pivots, most runs of a pivot
+RADIUS = 0.5
+
+
+def choose_pivots(docs: DataFrame, min_tokens: int) -> list[np.ndarray]:
+    """Runs of up to PIVOTS documents that have most neighbours within distance 0.6 in a hash sample.
+
+    A pivot must have three or more neighbours in the sample that no earlier pivot has, so
+    collections without large families get few or none.
+    """
+    some = docs.where("text is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text").collect()
+    texts = [r["text"] for r in some]
+    key, n = shingles(texts, min_tokens)
+    row, run = (key >> U64(48)).astype(np.int64), key & RUN
+    ok = (n[row] <= PIVOT_RUNS) & (n[row] > 2)
+    _, at, count = np.unique(run[ok], return_inverse=True, return_counts=True)
+    often = count[at] > 1
+    cols, at2 = np.unique(at[often], return_inverse=True)
+    near = np.zeros((len(texts), len(texts)), dtype=np.float32)
+    for lo in range(0, len(cols), 4096):  # common runs of all pairs, in blocks of runs
+        pick = (at2 >= lo) & (at2 < lo + 4096)
+        m = np.zeros((len(texts), 4096), dtype=np.float32)
+        m[row[ok][often][pick], at2[pick] - lo] = 1
+        near += m @ m.T
+    near = near / np.maximum(n[:, None] + n[None, :] - near, 1) >= 0.4
+    pivots = []
+    while len(pivots) < PIVOTS and len(near):
+        degree = near.sum(axis=1)
+        best = int(degree.argmax())
+        if degree[best] < 4:
+            break
+        pivots.append(run[row == best])
+        gone = near[best].copy()
+        near[gone] = False
+        near[:, gone] = False
+    return pivots
+
+
+def _regions(key: np.ndarray, n: np.ndarray, pivots: list[np.ndarray], eps: float) -> np.ndarray:
+    """Row by region: home and windows; region 0 is the outer one."""
+    out = np.zeros((len(n), len(pivots) + 1), dtype=bool)
+    out[:, 0] = True
+    if not pivots or not len(key):
+        return out
+    runs = np.unique(np.concatenate(pivots))
+    holds = np.zeros(len(runs), dtype=np.uint32)
+    for k, p in enumerate(pivots):
+        holds[np.searchsorted(runs, p)] |= np.uint32(1 << k)
+    run = key & RUN
+    at = np.minimum(np.searchsorted(runs, run), len(runs) - 1)
+    hit = runs[at] == run
+    row, mask = (key[hit] >> U64(48)).astype(np.int64), holds[at[hit]]
+    d = np.ones((len(n), len(pivots)))
+    for k, p in enumerate(pivots):
+        common = np.bincount(row[(mask >> np.uint32(k)) & 1 > 0], minlength=len(n))
+        d[:, k] = 1 - common / np.maximum(n + len(p) - common, 1)
+    home = d.argmin(axis=1)
+    least = d[np.arange(len(n)), home]
+    ball = least <= RADIUS
+    out[:, 0] = ~ball | (least > RADIUS - eps - 1e-9)
+    out[:, 1:] = ball[:, None] & (d <= least[:, None] + 2 * eps + 1e-9) & (d <= RADIUS + eps + 1e-9)
+    return out
+
+
 _ENTRY = np.dtype([("cell", "<u8"), ("doc", "<u4"), ("place", "<u2")])
 _DOC = np.dtype([("cls", "<i8"), ("n", "<u4"), ("side", "<u1")])
 FLUSH = 1_500_000
 
 
-def windows(docs: DataFrame, count: np.ndarray, threshold: float, min_tokens: int, parts: int) -> DataFrame:
+def windows(docs: DataFrame, count: np.ndarray, pivots: list[np.ndarray], threshold: float, min_tokens: int, parts: int) -> DataFrame:
     """Binary pieces of (cell, class, place) by partition of the cell. docs: text, side (1, 2 or 3)."""
     level, crowded = _rank(count)
-    shared = docs.sparkSession.sparkContext.broadcast(level)
+    shared = docs.sparkSession.sparkContext.broadcast((level, pivots))
 
     def pieces(held, known):
         order = np.array([(c, n, s) for c, (_, n, s) in known.items()], dtype=_DOC)
@@ -171,7 +241,7 @@ def windows(docs: DataFrame, count: np.ndarray, threshold: float, min_tokens: in
         return pd.DataFrame(rows, columns=["part", "docs", "entries"])
 
     def run(batches):
-        level = shared.value
+        level, pivots = shared.value
         held, known, size = [], {}, 0
         for pdf in batches:
             for rows, key, n, cls in _sets(pdf, min_tokens):
@@ -189,8 +259,11 @@ def windows(docs: DataFrame, count: np.ndarray, threshold: float, min_tokens: in
                 keep = new[(key >> U64(48)).astype(np.int64)]
                 n = np.where(new, n, 0)
                 cell, row, place = _entries(key[keep], n, level, crowded, threshold)
-                held.append((cell, number[row], place))
-                size += len(cell)
+                region = _regions(key[keep], n, pivots, 1 - threshold)
+                for r in np.flatnonzero(region.any(axis=0)):
+                    own = region[row, r]
+                    held.append((mix(cell[own] + U64(r)), number[row[own]], place[own]))
+                    size += int(own.sum())
                 if size > FLUSH:
                     yield pieces(held, known)
                     held, known, size = [], {}, 0
@@ -290,7 +363,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20)
     parts = n_parts(spark)
     count = sketch(docs, min_tokens)
     who = stored(members(docs, min_tokens))
-    pieces = windows(docs, count, threshold, min_tokens, parts)
+    pieces = windows(docs, count, choose_pivots(docs, min_tokens), threshold, min_tokens, parts)
     met = pieces.groupBy("part").applyInPandas(lambda p: _meet(p, threshold), "a long, b long").distinct()
     first = who.groupBy("cls").agg(F.min("id").alias("id"))
     text = docs.select("id", "text")

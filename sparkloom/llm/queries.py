@@ -93,7 +93,7 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_overlaps, p1_report, p2_found, p
 # Extraction of task names for the SQL forms below.
 _NAMES = r"""
 named AS (SELECT rec_id, split, regexp_extract_all(translate(coalesce(task_id, ''), '‐‑‒–—―−﹘﹣－_', '-----------'), '(?i)(?:^|[^a-z0-9])([a-d][\s-]+[a-z]{3}[\s-]+0*[0-9]+)', 1) AS x FROM programs),
-tasks AS (SELECT DISTINCT rec_id, upper(regexp_extract(t, '^([A-Da-d])', 1)) || '-' || upper(regexp_extract(t, '^[A-Da-d][\s-]+([A-Za-z]{3})', 1)) || '-' || lpad(CAST(CAST(regexp_extract(t, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR), greatest(4, length(CAST(CAST(regexp_extract(t, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR))), '0') AS name FROM (SELECT rec_id, unnest(x) AS t FROM named))
+tasks AS (SELECT DISTINCT rec_id, upper(regexp_extract(t, '^([A-Da-d])', 1)) || '-' || upper(regexp_extract(t, '^[A-Da-d][\s-]+([A-Za-z]{3})', 1)) || '-' || lpad(CAST(CAST(regexp_extract(t, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR), CAST(greatest(4, length(CAST(CAST(regexp_extract(t, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR))) AS INTEGER), '0') AS name FROM (SELECT rec_id, unnest(x) AS t FROM named))
 """
 
 ORACLE = {
