@@ -8,6 +8,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words of the small language that structural hashing keeps.
 KEYWORDS = ("let", "mut", "if", "el", "lp", "br", "as", "true", "false", "M", "I", "T", "F")
@@ -65,7 +66,7 @@ def id_shape(text: Column) -> Column:
 
 def family(task_id: Column) -> Column:
     """A task id without its version."""
-    return F.regexp_replace(task_id, r"v[0-9]+$", "")
+    return F.regexp_replace(task_id, r"v[0-9]+\z", "")
 
 
 def error_codes(text: Column) -> Column:
@@ -115,20 +116,20 @@ def structural_form(source: str) -> str:
     return " ".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def structural_hash(source: pd.Series) -> pd.Series:
     """First 16 hex digits of the SHA-256 of the structural form, in Arrow batches."""
     return source.map(lambda s: None if s is None else hashlib.sha256(structural_form(s).encode()).hexdigest()[:16])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compact(source: pd.Series) -> pd.Series:
     """White space dropped outside string literals, one blank kept between word characters."""
     part = regex.compile(r'("(?:\\.|[^"\\])*")|(\w)\s+(?=\w)|\s+')
     return source.map(lambda s: None if s is None else part.sub(lambda m: m[1] or (m[2] + " " if m[2] else ""), s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_output(text: pd.Series) -> pd.Series:
     """Program output with booleans in lower case, decimals by value, no trailing blanks or outer blank lines."""
     flag = regex.compile(r"\b(?:true|false)\b", regex.I)

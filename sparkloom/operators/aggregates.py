@@ -67,7 +67,10 @@ def bleu(df: DataFrame, by: list[str], candidate: str, reference: str, n: int =
     def grams(col, k):
         return F.when(F.size(col) >= k, F.transform(F.sequence(F.lit(1), F.size(col) - k + 1), lambda i: F.array_join(F.slice(col, i, k), " "))).otherwise(F.array().cast("array<string>"))
 
-    parts = F.flatten(F.array(*(F.transform(grams(side, k), lambda g, s=s, k=k: F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), g.alias("g"))) for k in range(1, n + 1) for s, side in (("c", "c"), ("r", "r")))))
+    def marked(side: str, k: int):
+        return F.transform(grams(side, k), lambda g: F.struct(F.lit(k).alias("k"), F.lit(side).alias("s"), g.alias("g")))
+
+    parts = F.flatten(F.array(*(marked(side, k) for k in range(1, n + 1) for side in "cr")))
     one = rows.select(*by, "_id", F.explode(parts).alias("x")).select(*by, "_id", "x.*")
     per = one.groupBy(*by, "_id", "k", "g").agg(F.count_if(F.col("s") == "c").alias("c"), F.count_if(F.col("s") == "r").alias("r"))
     hit = per.groupBy(*by, "k").agg(F.sum(F.least("c", "r")).alias("hit"), F.sum("c").alias("all"))

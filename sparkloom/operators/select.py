@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 
 def weighted_targets(counts: DataFrame, weights: dict[str, float], total: int, caps: dict[str, int]) -> DataFrame:
     """source, n_rows, target: weights of sources without rows go to the others in proportion; a target is at most
@@ -27,7 +29,7 @@ def kmeans_1d(values: DataFrame, value: str, k: int, rounds: int = 100) -> DataF
     quantiles. The driver holds k centres only. Fewer different values than k give as many clusters."""
     h = values.where(F.col(value).isNotNull()).groupBy(F.round(value, 4).alias("x")).agg(F.count("*").alias("n")).cache()
     try:
-        at = h.select(F.percentile("x", F.array(*(F.lit((i + 0.5) / k) for i in range(k))), "n")).first()[0]
+        at = h.select(F.percentile("x", F.array(*(F.lit((i + 0.5) / k) for i in range(k))), F.col("n"))).first()[0]
         centres = sorted(set(at or []))
         for _ in range(rounds):
             if not centres:
@@ -35,7 +37,7 @@ def kmeans_1d(values: DataFrame, value: str, k: int, rounds: int = 100) -> DataF
             near = F.array_position(F.array(*(F.abs(F.col("x") - c) for c in centres)), F.array_min(F.array(*(F.abs(F.col("x") - c) for c in centres)))) - 1
             got = {r["c"]: r["m"] for r in h.groupBy(near.alias("c")).agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("m")).collect()}
             new = sorted(got.values())
-            if new == centres:
+            if len(new) == len(centres) and max(abs(a - b) for a, b in zip(new, centres)) < 1e-4:
                 break
             centres = new
         if not centres:
@@ -91,7 +93,8 @@ def quota_topup(pairs: DataFrame, chosen: DataFrame, floor: int, rounds: int = 6
     pairs: key, item (different). chosen: key. Items are served from the scarcest on, one per round; each added row
     counts for all of its items. Items are few (names of functions or modules); rows stay distributed.
     """
-    have = chosen.select("key").distinct()
+    pairs = stored(pairs)
+    have = stored(chosen.select("key").distinct())
     added = have.select("key", F.lit(None).cast("string").alias("for_item")).limit(0)
     served: list[str] = []
     for _ in range(rounds):
@@ -102,6 +105,7 @@ def quota_topup(pairs: DataFrame, chosen: DataFrame, floor: int, rounds: int = 6
         served.append(nxt["item"])
         open_ = pairs.where(F.col("item") == nxt["item"]).join(have, "key", "left_anti")
         more = open_.orderBy(F.sha2(F.col("key").cast("string"), 256), "key").limit(floor - nxt["c"]).select("key", F.lit(nxt["item"]).alias("for_item"))
+        more = stored(more)
         added = added.unionByName(more)
-        have = have.unionByName(more.select("key"))
+        have = stored(have.unionByName(more.select("key")))
     return added

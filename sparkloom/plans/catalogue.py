@@ -1,4 +1,4 @@
-"""Queries over the test tables and their SQL."""
+"""All queries over the test tables and their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import aggregate_queries, corpus_queries, gate_queries, join_queries, order_queries, stream_queries  # noqa: F401
+from .registry import ORACLE, QUERIES  # noqa: F401
