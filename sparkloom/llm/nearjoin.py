@@ -151,6 +151,8 @@ def _entries(key: np.ndarray, n: np.ndarray, level: np.ndarray, crowded: int, th
 
 
 SAMPLE, PIVOTS, PIVOT_RUNS = 1000, 32, 2000  # documents sampled, most pivots, most runs of a pivot
+PIVOT_CHARS = 20_000  # longest text sampled: the driver holds SAMPLE times that at most
+ENTRIES = 1_000_000  # entries of windows that one group of a join holds, on average
 RADIUS = 0.5
 
 
@@ -160,7 +162,7 @@ def choose_pivots(docs: DataFrame, min_tokens: int) -> list[np.ndarray]:
     A pivot must have three or more neighbours in the sample that no earlier pivot has, so
     collections without large families get few or none.
     """
-    some = docs.where("text is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text").collect()
+    some = docs.where(F.length("text") <= PIVOT_CHARS).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("text").collect()
     texts = [r["text"] for r in some]
     key, n = shingles(texts, min_tokens)
     row, run = (key >> U64(48)).astype(np.int64), key & RUN
@@ -362,6 +364,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20)
     spark = docs.sparkSession
     parts = n_parts(spark)
     count = sketch(docs, min_tokens)
+    parts = max(parts, int(count.sum(dtype=np.int64) * (1 - threshold)) // ENTRIES)
     who = stored(members(docs, min_tokens))
     pieces = windows(docs, count, choose_pivots(docs, min_tokens), threshold, min_tokens, parts)
     met = pieces.groupBy("part").applyInPandas(lambda p: _meet(p, threshold), "a long, b long").distinct()

@@ -23,6 +23,7 @@ from .arrays import BASE, U64, Rolling, chunks, codes, mix, n_parts, stored
 
 CHUNK = 1_500_000
 FLUSH = 700_000
+GROUP_CHARS = 25_000_000  # characters whose stretches (one in about 25) one group holds, on average
 _STRETCH = np.dtype([("seed", "<u4"), ("run", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("n", "<u2")])
 _WINDOW = np.dtype([("run", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("n", "<u2"), ("many", "?")])
 _PLACE = np.dtype([("start", "<u4"), ("n", "<u2")])
@@ -213,8 +214,9 @@ def _union(batches, length: int):
 
 def shared_spans(rows: DataFrame, length: int = 100) -> DataFrame:
     """rec_id, start_pos, end_pos of the maximal shared stretches of each record. rows: id (unique, long), text."""
-    parts = n_parts(rows.sparkSession)
     rows = rows.select("id", "text").where(F.length("text") >= length)
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(n_parts(rows.sparkSession), chars // GROUP_CHARS)
     sent = rows.mapInPandas(lambda it: _send_stretches(it, length, parts), SENT)
     judged = stored(sent.groupBy("part").applyInPandas(_judge_stretches, ANSWER))
     wants = judged.where("want is not null").groupBy("id").agg(F.collect_list("want").alias("wants"))
