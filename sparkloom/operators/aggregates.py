@@ -61,19 +61,20 @@ def bleu(df: DataFrame, by: list[str], candidate: str, reference: str, n: int =
     """Corpus BLEU (clipped n-grams, brevity penalty) of each group; rows with a null side are left out."""
     from ..functions.text import words
 
-    rows = df.where(F.col(candidate).isNotNull() & F.col(reference).isNotNull()).select(*by, F.monotonically_increasing_id().alias("_id"), words(F.col(candidate)).alias("c"), words(F.col(reference)).alias("r"))
-    sizes = rows.groupBy(*by).agg(F.sum(F.size("c")).alias("cl"), F.sum(F.size("r")).alias("rl"))
+    rows = df.where(F.col(candidate).isNotNull() & F.col(reference).isNotNull())
+    rows = rows.select(*by, F.monotonically_increasing_id().alias("_id"), words(F.col(candidate)).alias("_c"), words(F.col(reference)).alias("_r"))
+    sizes = rows.groupBy(*by).agg(F.sum(F.size("_c")).alias("_cl"), F.sum(F.size("_r")).alias("_rl"))
 
     def grams(col, k):
         return F.when(F.size(col) >= k, F.transform(F.sequence(F.lit(1), F.size(col) - k + 1), lambda i: F.array_join(F.slice(col, i, k), " "))).otherwise(F.array().cast("array<string>"))
 
     def marked(side: str, k: int):
-        return F.transform(grams(side, k), lambda g: F.struct(F.lit(k).alias("k"), F.lit(side).alias("s"), g.alias("g")))
-
-    parts = F.flatten(F.array(*(marked(side, k) for k in range(1, n + 1) for side in "cr")))
-    one = rows.select(*by, "_id", F.explode(parts).alias("x")).select(*by, "_id", "x.*")
-    per = one.groupBy(*by, "_id", "k", "g").agg(F.count_if(F.col("s") == "c").alias("c"), F.count_if(F.col("s") == "r").alias("r"))
-    hit = per.groupBy(*by, "k").agg(F.sum(F.least("c", "r")).alias("hit"), F.sum("c").alias("all"))
-    mean = hit.groupBy(*by).agg(F.sum(F.when((F.col("hit") > 0), F.log(F.col("hit") / F.col("all")))).alias("logs"), F.count_if(F.col("hit") > 0).alias("orders"))
-    bp = F.least(F.lit(1.0), F.exp(1 - F.col("rl") / F.col("cl")))
-    return sizes.join(mean, by, "left").select(*by, F.when((F.col("orders") == n) & (F.col("cl") > 0), F.round(100 * bp * F.exp(F.col("logs") / n), 4)).otherwise(0.0).alias("bleu"))
+        return F.transform(grams(side, k), lambda g: F.struct(F.lit(k).alias("_k"), F.lit(side).alias("_s"), g.alias("_g")))
+
+    parts = F.flatten(F.array(*(marked(side, k) for k in range(1, n + 1) for side in ("_c", "_r"))))
+    one = rows.select(*by, "_id", F.explode(parts).alias("_x")).select(*by, "_id", "_x.*")
+    per = one.groupBy(*by, "_id", "_k", "_g").agg(F.count_if(F.col("_s") == "_c").alias("_nc"), F.count_if(F.col("_s") == "_r").alias("_nr"))
+    hit = per.groupBy(*by, "_k").agg(F.sum(F.least("_nc", "_nr")).alias("_hit"), F.sum("_nc").alias("_all"))
+    mean = hit.groupBy(*by).agg(F.sum(F.when(F.col("_hit") > 0, F.log(F.col("_hit") / F.col("_all")))).alias("_logs"), F.count_if(F.col("_hit") > 0).alias("_orders"))
+    bp = F.least(F.lit(1.0), F.exp(1 - F.col("_rl") / F.col("_cl")))
+    return sizes.join(mean, by, "left").select(*by, F.when((F.col("_orders") == n) & (F.col("_cl") > 0), F.round(100 * bp * F.exp(F.col("_logs") / n), 4)).otherwise(0.0).alias("bleu"))

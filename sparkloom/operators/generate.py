@@ -101,9 +101,10 @@ def checked(df: DataFrame, source: str, check: Callable[[list[str]], list[tuple[
         for pdf in batches:
             some = pdf[source].notna()
             got = check(pdf.loc[some, source].tolist())
-            code = pd.Series(pd.NA, index=pdf.index, dtype="Int32")
-            said = pd.Series(None, index=pdf.index, dtype=object)
-            code[some], said[some] = [c for c, _ in got], [o for _, o in got]
+            at = pdf.index[some]
+            code = pd.Series([c for c, _ in got], index=at, dtype="Int32").reindex(pdf.index)
+            said = pd.Series([o for _, o in got], index=at, dtype=object).reindex(pdf.index)
+            said = said.where(said.notna(), None)
             yield pdf.assign(exit_code=code, output=said)
 
     return df.mapInPandas(run, schema)

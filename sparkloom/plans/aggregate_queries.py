@@ -25,10 +25,10 @@ def group_pass_rates(spark, d):
     )
 
 
-@query("""SELECT category, count(judge.score) AS n, round(avg(judge.score), 6) AS mean, round(stddev_pop(judge.score), 6) AS sd, min(judge.score) AS low, max(judge.score) AS high, count(DISTINCT model) AS n_models FROM programs GROUP BY 1""")
+@query("""SELECT category, count(judge.score) AS n, round(avg(judge.score) + 1e-9, 6) AS mean, round(stddev_pop(judge.score), 6) AS sd, min(judge.score) AS low, max(judge.score) AS high, count(DISTINCT model) AS n_models FROM programs GROUP BY 1""")
 def diversity_stats(spark, d):
     s = F.col("judge.score")
-    return table(spark, d, "programs").groupBy("category").agg(F.count(s).alias("n"), F.round(F.avg(s), 6).alias("mean"), F.round(F.stddev_pop(s), 6).alias("sd"), F.min(s).alias("low"), F.max(s).alias("high"), F.countDistinct("model").alias("n_models"))
+    return table(spark, d, "programs").groupBy("category").agg(F.count(s).alias("n"), F.round(F.avg(s) + 1e-9, 6).alias("mean"), F.round(F.stddev_pop(s), 6).alias("sd"), F.min(s).alias("low"), F.max(s).alias("high"), F.countDistinct("model").alias("n_models"))
 
 
 @query("""WITH s AS (SELECT phase, list_sort(list(tk_tokens)) AS l FROM programs WHERE tk_tokens IS NOT NULL GROUP BY 1)
