@@ -113,3 +113,14 @@ both_ AS (SELECT lo, hi, count(*) AS c FROM cand JOIN runs a ON a.rec_id = lo JO
 SELECT lo AS lo_id, hi AS hi_id FROM both_ JOIN n x ON x.rec_id = lo JOIN n y ON y.rec_id = hi WHERE c >= 0.7 * (x.n + y.n - c) - 1e-9
 """,
 }
+
+_SINGLE = r"""
+one AS (SELECT rec_id, split, upper(regexp_replace(min(x), '[\s-]+', '-', 'g')) AS x, count(DISTINCT upper(regexp_replace(x, '[\s-]+', '-', 'g'))) AS n FROM (SELECT rec_id, split, unnest(regexp_extract_all(translate(coalesce(task_id, ''), '‐‑‒–—―−﹘﹣－_', '-----------'), '(?i)(?:^|[^a-z0-9])([a-d][\s-]+[a-z]{3}[\s-]+0*[0-9]+(?:\s*v0*[0-9]+)?)', 1)) AS x FROM programs) GROUP BY 1, 2),
+keyed AS (SELECT rec_id, split, regexp_extract(x, '^([A-D]-[A-Z]{3})', 1) AS area, CAST(regexp_extract(x, '^[A-D]-[A-Z]{3}-0*([0-9]+)', 1) AS BIGINT) AS number, regexp_extract(x, 'V0*([0-9]+)$', 1) AS version FROM one WHERE n = 1)
+"""
+ORACLE["p1_found"] = f"""
+WITH near AS ({ORACLE["p5_found"]}), {_SINGLE.strip()},
+task AS (SELECT least(a.rec_id, b.rec_id) AS lo_id, greatest(a.rec_id, b.rec_id) AS hi_id FROM keyed a JOIN keyed b USING (area, number, version) WHERE a.split = 'train' AND b.split IN ('validation', 'test'))
+SELECT lo_id, hi_id FROM near JOIN programs a ON a.rec_id = lo_id JOIN programs b ON b.rec_id = hi_id WHERE (a.split = 'train' AND b.split IN ('validation', 'test')) OR (b.split = 'train' AND a.split IN ('validation', 'test'))
+UNION SELECT lo_id, hi_id FROM task
+"""
