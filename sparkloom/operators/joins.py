@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import id_shape, words
+from ..storage import stored
 
 SMALL_ROWS = 100_000  # dimension tables are broadcast up to this many rows
+BLOCK = 25_000  # texts of one side that a task compares, on average
 
 
 def dimension(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
@@ -50,25 +54,64 @@ def tfidf_best(queries: DataFrame, items: DataFrame) -> DataFrame:
 
     IDF comes from the items (item_id, text) alone, smoothed as ``ln((N+1)/(df+1)) + 1``; terms that
     no item has still lengthen the query. Queries that share no term with any item have sim 0 and no
-    item; ties go to the smallest item_id. The join runs on terms, so the result of each step is
-    bounded by the postings of the items.
+    item; ties go to the smallest item_id. Every block of queries meets every block of items, where
+    products are summed on arrays over the postings, so hot terms build no rows. Terms are 64-bit hashes.
     """
-    terms = lambda df, key: df.select(key, F.explode(words(F.lower("text"))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    terms = lambda df, key: df.select(F.col(key).alias("id"), F.explode(F.transform(words(F.lower("text")), lambda x: F.xxhash64(x))).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
     total = items.where("text is not null").agg(F.count("*").alias("n"))
     it = terms(items.where("text is not null"), "item_id")
     idf = it.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    iw = it.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    inorm = iw.groupBy("item_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("inorm"))
     q = terms(queries.where("text is not null"), "query_id")
-    qw = q.join(idf, "term", "left").join(F.broadcast(total)).withColumn("w", F.col("tf") * F.coalesce("idf", F.log(F.col("n") + 1) + 1))
-    qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
-    dots = qw.where("idf is not null").select("query_id", "term", F.col("w").alias("a")).join(iw.select("item_id", "term", F.col("w").alias("b")), "term")
-    dots = dots.groupBy("query_id", "item_id").agg(F.sum(F.col("a") * F.col("b")).alias("dot"))
-    sims = dots.join(inorm, "item_id").join(qnorm, "query_id").withColumn("sim", F.round(F.col("dot") / (F.col("inorm") * F.col("qnorm")), 6))
-    best = sims.groupBy("query_id").agg(F.max(F.struct("sim", (-F.col("item_id")).alias("neg"))).alias("m"))
+    weighted = it.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf")), q.join(idf, "term", "left").join(F.broadcast(total)).withColumn("w", F.col("tf") * F.coalesce("idf", F.log(F.col("n") + 1) + 1))
+
+    def vectors(df: DataFrame) -> DataFrame:
+        """id, terms and weights that items have, divided by the length of the whole vector."""
+        known = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct(F.col("term").alias("t"), F.col("w").alias("w"))))
+        v = df.groupBy("id").agg(known.alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len")).where("size(v) > 0")
+        return stored(v.select("id", F.col("v.t").alias("terms"), F.transform("v.w", lambda x: x / F.col("len")).alias("weights")))
+
+    iv, qv = map(vectors, weighted)
+    m, n = (max(1, -(-v.count() // BLOCK)) for v in (iv, qv))
+    block = lambda df, own, k, other, j: df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(k).cast("long"))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(j - 1).cast("long"))))
+    iv, qv = block(iv, "i", m, "q", n).groupBy("i", "q"), block(qv, "q", n, "i", m).groupBy("i", "q")
+    sims = qv.cogroup(iv).applyInPandas(_best_of_block, "query_id long, item_id long, sim double")
+    best = sims.groupBy("query_id").agg(F.max(F.struct(F.round("sim", 6).alias("sim"), (-F.col("item_id")).alias("neg"))).alias("m"))
     return queries.select("query_id").join(best, "query_id", "left").select("query_id", (-F.col("m.neg")).alias("item_id"), F.coalesce("m.sim", F.lit(0.0)).alias("sim"))
 
 
+def _best_of_block(q: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
+    """query_id, item_id, sim of the most similar item of a block: sums over postings, by query."""
+    out: list[tuple[int, int, float]] = []
+    if len(q) and len(it):
+        it = it.sort_values("id")
+        ids = it["id"].to_numpy()
+        term, weight = np.concatenate(it["terms"].to_numpy()), np.concatenate(it["weights"].to_numpy())
+        at = np.repeat(np.arange(len(ids)), it["terms"].map(len))
+        order = np.argsort(term, kind="stable")
+        at, weight = at[order], weight[order]
+        known, first = np.unique(term[order], return_index=True)
+        last = np.append(first[1:], len(order))
+        for key, ts, ws in zip(q["id"], q["terms"], q["weights"]):
+            place = np.minimum(np.searchsorted(known, ts), len(known) - 1)
+            hit = known[place] == ts
+            place, ws = place[hit], ws[hit]
+            if not len(place):
+                continue
+            n = last[place] - first[place]
+            rows = np.concatenate([at[a:b] for a, b in zip(first[place], last[place])])
+            dot = np.concatenate([weight[a:b] for a, b in zip(first[place], last[place])]) * np.repeat(ws, n)
+            if len(rows) * 8 < len(ids):
+                rows, back = np.unique(rows, return_inverse=True)
+                dot = np.bincount(back, dot)
+            else:
+                dot, rows = np.bincount(rows, dot, len(ids)), np.arange(len(ids))
+            near = np.flatnonzero(dot >= dot.max() - 2e-6)
+            sim = np.floor(dot[near] * 1e6 + 0.5)
+            best = near[np.argmax(sim)]  # the first of equals: the smallest id
+            out.append((key, ids[rows[best]], dot[best]))
+    return pd.DataFrame(out, columns=["query_id", "item_id", "sim"])
+
+
 def both_sides(df: DataFrame, key: Column, side: Column, names: tuple[str, str]) -> DataFrame:
     """Keys that rows of both sides have, with the rows of each."""
     n = df.where(key.isNotNull()).groupBy(key.alias("key")).agg(F.count_if(side == names[0]).alias("n_left"), F.count_if(side == names[1]).alias("n_right"))

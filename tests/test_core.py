@@ -184,3 +184,28 @@ def test_tfidf_matches_a_plain_loop(spark):
 def test_bleu_of_equal_texts(spark):
     df = spark.createDataFrame([("g", "a b c d e", "a b c d e"), ("h", "a b", "c d")], "k string, c string, r string")
     assert {r["k"]: r["bleu"] for r in aggregates.bleu(df, ["k"], "c", "r").collect()} == {"g": 100.0, "h": 0.0}
+
+
+def test_tfidf_eval_sim_compares_every_program_with_every_evaluation_record(spark, monkeypatch):
+    """Against a plain loop, in one block and in many."""
+    import math
+    from collections import Counter
+
+    from sparkloom.plans import catalogue
+
+    d = "/root/testdata/sf0.001"
+    rows = [(r["rec_id"], r["split"], r["tk_source"]) for r in spark.read.parquet(f"{d}/programs.parquet").select("rec_id", "split", "tk_source").collect()]
+    items = {k: t.lower().split() for k, s, t in rows if s in ("validation", "test") and t is not None}
+    df = Counter(t for ts in items.values() for t in set(ts))
+    vec = lambda ts: {t: c * (math.log((len(items) + 1) / (df[t] + 1)) + 1) for t, c in Counter(ts).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    vecs, want = {k: vec(ts) for k, ts in items.items()}, {}
+    for k, _, t in rows:
+        v = vec(t.lower().split()) if t else {}
+        sims = {i: round(sum(x * w.get(u, 0) for u, x in v.items()) / (norm(v) * norm(w)), 6) for i, w in vecs.items() if v and w}
+        best = max(sims, key=lambda i: (sims[i], -i), default=None)
+        want[k] = (best, sims[best]) if best is not None and sims[best] > 0 else (None, 0.0)
+    for block in (joins.BLOCK, 7):
+        monkeypatch.setattr(joins, "BLOCK", block)
+        got = {r["query_id"]: (r["item_id"], r["sim"]) for r in catalogue.QUERIES["tfidf_eval_sim"](spark, d).collect()}
+        assert got == want
