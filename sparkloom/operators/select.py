@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,25 +89,40 @@ def first_fit(df: DataFrame, shard: str, key: str, size: str, window: int, separ
     return df.select(shard, key, size).groupBy(shard).applyInPandas(run, "shard long, bin long, key long, size long")
 
 
-def quota_topup(pairs: DataFrame, chosen: DataFrame, floor: int, rounds: int = 60) -> DataFrame:
+def quota_topup(pairs: DataFrame, chosen: DataFrame, floor: int) -> DataFrame:
     """key, for_item of rows added so that each item is held by `floor` chosen rows, where so many rows hold it.
 
-    pairs: key, item (different). chosen: key. Items are served from the scarcest on, one per round; each added row
-    counts for all of its items. Items are few (names of functions or modules); rows stay distributed.
+    pairs: key, item (different). chosen: key. Items are served from the scarcest on until every one is served or at the
+    floor; each added row counts for all of its items. An item never takes more than its first `floor` rows in hash order,
+    so one task serves all items (names of functions or modules) from those; the other rows stay distributed.
     """
     pairs = stored(pairs)
     have = stored(chosen.select("key").distinct())
-    added = have.select("key", F.lit(None).cast("string").alias("for_item")).limit(0)
-    served: list[str] = []
-    for _ in range(rounds):
-        count = pairs.select("item").distinct().join(pairs.join(have, "key", "left_semi").groupBy("item").agg(F.count("*").alias("c")), "item", "left")
-        nxt = count.where(~F.col("item").isin(served or [""])).select("item", F.coalesce("c", F.lit(0)).alias("c")).orderBy("c", "item").first()
-        if nxt is None or nxt["c"] >= floor:
-            break
-        served.append(nxt["item"])
-        open_ = pairs.where(F.col("item") == nxt["item"]).join(have, "key", "left_anti")
-        more = open_.orderBy(F.sha2(F.col("key").cast("string"), 256), "key").limit(floor - nxt["c"]).select("key", F.lit(nxt["item"]).alias("for_item"))
-        more = stored(more)
-        added = added.unionByName(more)
-        have = stored(have.unionByName(more.select("key")))
-    return added
+    count = pairs.join(have, "key", "left_semi").groupBy("item").agg(F.count("*").alias("c"))
+    short = pairs.select("item").distinct().join(count, "item", "left").select("item", F.coalesce("c", F.lit(0)).alias("c")).where(F.col("c") < floor)
+    open_ = pairs.join(have, "key", "left_anti").join(short, "item").withColumn("h", F.sha2(F.col("key").cast("string"), 256))
+    first = open_.withColumn("r", F.row_number().over(Window.partitionBy("item").orderBy("h", "key"))).where(F.col("r") <= floor)
+    near = open_.join(first.select("key").distinct(), "key", "left_semi")
+
+    def serve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h", "key"])
+        keys = pdf.groupby("item")["key"].apply(list).to_dict()
+        items = pdf.groupby("key")["item"].apply(list).to_dict()
+        held = dict(zip(pdf["item"], pdf["c"]))
+        queue = [(c, item) for item, c in held.items()]
+        heapq.heapify(queue)
+        added: dict = {}
+        while queue:
+            c, item = heapq.heappop(queue)
+            if c < held[item]:
+                heapq.heappush(queue, (held[item], item))
+                continue
+            if c >= floor:
+                break
+            for key in [k for k in keys[item] if k not in added][: floor - c]:
+                added[key] = item
+                for i in items[key]:
+                    held[i] += 1
+        return pd.DataFrame({"key": list(added), "for_item": list(added.values())})
+
+    return near.select("key", "item", "h", "c").groupBy().applyInPandas(serve, f"key {pairs.schema['key'].dataType.simpleString()}, for_item string")

@@ -209,3 +209,26 @@ def test_tfidf_eval_sim_compares_every_program_with_every_evaluation_record(spar
         monkeypatch.setattr(joins, "BLOCK", block)
         got = {r["query_id"]: (r["item_id"], r["sim"]) for r in catalogue.QUERIES["tfidf_eval_sim"](spark, d).collect()}
         assert got == want
+
+
+def test_quota_topup_serves_more_than_sixty_items(spark):
+    """Against a plain loop over all items; scarce, common and shared ones."""
+    import hashlib
+
+    random.seed(5)
+    held = {k: {f"i{min(int(random.expovariate(0.04)), 89)}" for _ in range(random.randrange(1, 4))} for k in range(700)}
+    chosen, want = set(range(0, 700, 50)), {}
+    have, served, items = set(chosen), set(), sorted({i for v in held.values() for i in v})
+    while True:
+        count = {i: sum(i in held[k] for k in have) for i in items if i not in served}
+        item = min(count, key=lambda i: (count[i], i), default=None)
+        if item is None or count[item] >= 9:
+            break
+        served.add(item)
+        more = sorted((k for k in held if item in held[k] and k not in have), key=lambda k: hashlib.sha256(str(k).encode()).hexdigest())[: 9 - count[item]]
+        want |= dict.fromkeys(more, item)
+        have |= set(more)
+    assert len(served) > 60
+    pairs = spark.createDataFrame([(k, i) for k, v in held.items() for i in sorted(v)], "key long, item string")
+    got = select.quota_topup(pairs, spark.createDataFrame([(k,) for k in chosen], "key long"), 9).collect()
+    assert {r["key"]: r["for_item"] for r in got} == want
