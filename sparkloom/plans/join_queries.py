@@ -172,6 +172,23 @@ def alias_calls(spark, d):
     return c.groupBy("module", F.substring_index("call", ".", -1).alias("fn")).agg(F.count("*").alias("n_calls"))
 
 
+_WORD = r"[\p{L}\p{M}\p{N}_]"
+_GAP = r"[\s\p{Z}\p{Cc}\p{Cf}]*"  # also the invisible characters of rewritten sources
+_IMPORT = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_.])[Ii]{_GAP}={_GAP}({_WORD}+){_GAP}:{_GAP}({_WORD}+(?:{_GAP}\.{_GAP}{_WORD}+)*)"
+_CALL = rf"(?<![\p{{L}}\p{{M}}\p{{N}}_.])({_WORD}+){_GAP}\.{_GAP}({_WORD}+)(?={_GAP}\()"
+
+
+@query()
+def alias_calls_all(spark, d):
+    """Calls ``alias.name(`` anywhere in a source, by imported module (as spelled) and function, blanks allowed between the
+    parts; of two imports under one alias the last counts. No SQL: RE2 can't look behind. See tests/test_core.py."""
+    both = lambda rx, a, b: F.arrays_zip(*(F.regexp_extract_all("tk_source", F.lit(rx), F.lit(k)).alias(n) for k, n in ((1, a), (2, b))))
+    p = table(spark, d, "programs").where("tk_source is not null").select(F.reverse(both(_IMPORT, "alias", "module")).alias("imports"), F.explode(both(_CALL, "alias", "fn")).alias("call"))
+    at = F.array_position(F.transform("imports", lambda x: x["alias"]), F.col("call.alias"))
+    c = p.withColumn("at", at).where("at > 0").select(F.regexp_replace(F.get("imports", (F.col("at") - 1).cast("int"))["module"], _GAP[:-1], "").alias("module"), "call.fn")
+    return c.groupBy("module", "fn").agg(F.count("*").alias("n_calls"))
+
+
 @query("SELECT DISTINCT task_id FROM (SELECT task_id FROM programs UNION ALL SELECT task_id FROM parallel_corpus UNION ALL SELECT task_id FROM negative_examples) WHERE task_id IS NOT NULL")
 def union_ids(spark, d):
     u = table(spark, d, "programs").select("task_id")

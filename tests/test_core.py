@@ -232,3 +232,18 @@ def test_quota_topup_serves_more_than_sixty_items(spark):
     pairs = spark.createDataFrame([(k, i) for k, v in held.items() for i in sorted(v)], "key long, item string")
     got = select.quota_topup(pairs, spark.createDataFrame([(k,) for k in chosen], "key long"), 9).collect()
     assert {r["key"]: r["for_item"] for r in got} == want
+
+
+def test_alias_calls_all_reads_every_form(spark, tmp_path):
+    from sparkloom.plans import catalogue
+
+    sources = [
+        "M=a;I=s:std.str;F=f(x:i64):i64{let a=s.norm(x);let b = s.norm(x);g(s.pad(x)+s.norm(1));<b.norm(x)};",
+        "M=a;\nI = my2Al :std.Io2;F=f(x:i64):i64{let a=my2Al.readAll(x);<my2Al . readAll (x)};",
+        "m=a;\u200bi=o:std.io;f=f(x:i64):i64{let a=\u3000o.pad(x);<xo.pad(x)+y.o.pad(x)+o.pad};",
+        "I=s:std.str;I=s:std.set;F=f(){<s.add(1)};",
+        "F=f(){<s.add(1)};", "", None,
+    ]
+    spark.createDataFrame([(i, s) for i, s in enumerate(sources)], "rec_id long, tk_source string").write.parquet(f"{tmp_path}/programs.parquet")
+    got = {(r["module"], r["fn"]): r["n_calls"] for r in catalogue.QUERIES["alias_calls_all"](spark, str(tmp_path)).collect()}
+    assert got == {("std.str", "norm"): 3, ("std.str", "pad"): 1, ("std.Io2", "readAll"): 2, ("std.io", "pad"): 1, ("std.set", "add"): 1}
