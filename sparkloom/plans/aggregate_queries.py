@@ -162,6 +162,19 @@ def inverse_frequency(spark, d):
     return terms.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(n)).select("term", "df", F.round(F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1, 6).alias("idf"))
 
 
+_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(f"""WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '{_SPACE}'), lambda x: x <> '')) AS term FROM documents)
+SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents WHERE text IS NOT NULL) + 1) / (count(*) + 1)) + 1, 6) AS idf FROM t GROUP BY 1""")
+def inverse_frequency_all(spark, d):
+    """Over every document with text, in any language; terms are split at white space in any form Unicode has."""
+    t = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    n = t.agg(F.count("*").alias("n"))
+    terms = t.select(F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), _SPACE), lambda x: x != ""))).alias("term"))
+    return terms.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(n)).select("term", "df", F.round(F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1, 6).alias("idf"))
+
+
 @query("""WITH RECURSIVE l(lv, i, h, n) AS (SELECT 0, row_number() OVER (ORDER BY rec_id) - 1, sha256(rec_id || ':' || sha256(tk_source)), count(*) OVER () FROM programs WHERE tk_source IS NOT NULL
 UNION ALL SELECT lv + 1, i // 2, sha256(h || coalesce(x, h)), (n + 1) // 2 FROM (SELECT lv, i, h, n, lead(h) OVER (ORDER BY i) AS x FROM l) WHERE i % 2 = 0 AND n > 1)
 SELECT (SELECT count(*) FROM programs WHERE tk_source IS NOT NULL) AS n_leaves, h AS root FROM l WHERE n = 1""")

@@ -247,3 +247,15 @@ def test_alias_calls_all_reads_every_form(spark, tmp_path):
     spark.createDataFrame([(i, s) for i, s in enumerate(sources)], "rec_id long, tk_source string").write.parquet(f"{tmp_path}/programs.parquet")
     got = {(r["module"], r["fn"]): r["n_calls"] for r in catalogue.QUERIES["alias_calls_all"](spark, str(tmp_path)).collect()}
     assert got == {("std.str", "norm"): 3, ("std.str", "pad"): 1, ("std.Io2", "readAll"): 2, ("std.io", "pad"): 1, ("std.set", "add"): 1}
+
+
+def test_inverse_frequency_all_covers_every_document(spark, tmp_path):
+    import math
+
+    from sparkloom.plans import catalogue
+
+    docs = [(1, "Straße na\u00efve", "de"), (2, "stra\u00dfe\u3000\u0434\u043e\u043c", None), (3, "the DOM", "EN"), (4, "the", "en"), (5, "", "en"), (6, None, "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["term"]: (r["df"], r["idf"]) for r in catalogue.QUERIES["inverse_frequency_all"](spark, str(tmp_path)).collect()}
+    df = {"stra\u00dfe": 2, "na\u00efve": 1, "\u0434\u043e\u043c": 1, "the": 2, "dom": 1}
+    assert got == {t: (n, round(math.log(6 / (n + 1)) + 1, 6)) for t, n in df.items()}
