@@ -5,8 +5,8 @@ rests and whole documents are packed by decreasing size into the tightest contai
 containers are found by a successor search over their residual capacities (a bit set), and carry
 bitmaps of the duplicate clusters and, where asked for, of the sources they hold: the search goes
 on to the next residual while all containers of one hold a document that conflicts. Where no
-container that has room is free of conflict, the tightest one is taken all the same: conflicts are
-avoided, room isn't wasted for them. Documents are packed in shards of a bounded expected size.
+container that has room is free of conflict, the tightest one without the cluster, else the tightest
+one, is taken all the same: conflicts are avoided, room isn't wasted for them. Documents are packed in shards of a bounded expected size.
 
 Defined cases: texts without tokens are left out; a document of exactly the capacity fills a
 container; configurations without a positive capacity give no rows; ties go by doc_id.
@@ -36,14 +36,12 @@ class Bins:
         self.members: list[set[int]] = []
         self.sources: list[int] = []
 
-    def _free(self, b: int, cluster: int, source: int) -> bool:
-        if source >= 0 and self.sources[b] >> source & 1:
-            return False
+    def _free(self, b: int, cluster: int) -> bool:
         return cluster < 0 or not self.clusters[b] >> (cluster & 63) & 1 or cluster not in self.members[b]
 
     def _take(self, size: int, cluster: int, source: int) -> tuple[int, int] | None:
-        """The tightest container with room that doesn't conflict, else the tightest with room, taken from the search."""
-        left, tightest = self.residuals >> size, None
+        """The tightest container with room that doesn't conflict, else the tightest without the cluster, else the tightest with room, taken from the search."""
+        left, tightest, other = self.residuals >> size, None, None
         residual = size
         while left:
             step = (left & -left).bit_length() - 1
@@ -55,11 +53,15 @@ class Bins:
                 if last == cluster and cluster >= 0:
                     continue  # all of these hold the cluster
                 for i in range(len(bins) - 1, -1, -1):
-                    if self._free(bins[i], cluster, source):
+                    if source >= 0 and self.sources[bins[i]] >> source & 1:
+                        if other is None and self._free(bins[i], cluster):
+                            other = (residual, last, i)
+                    elif self._free(bins[i], cluster):
                         return self._pop(residual, last, i), residual
             left >>= 1
             residual += 1
-        return None if tightest is None else (self._pop(*tightest), tightest[0])
+        taken = other or tightest
+        return None if taken is None else (self._pop(*taken), taken[0])
 
     def _pop(self, residual: int, last: int, i: int) -> int:
         groups = self.open[residual]
@@ -113,7 +115,10 @@ def _pack_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
     small = small[np.lexsort((ids[small], pdf["cluster"].to_numpy()[small], -rest[small]))]
     _, cluster, count = np.unique(pdf["cluster"].to_numpy(), return_inverse=True, return_counts=True)
     cluster = np.where(count[cluster] > 1, cluster, -1)
-    own = pack(rest[small], capacity, cluster[small], pdf["source_no"].to_numpy()[small])
+    known = pdf["source_no"].to_numpy()
+    _, source, count = np.unique(known, return_inverse=True, return_counts=True)
+    source = np.where((count[source] > 1) & (known != -1), source, -1)
+    own = pack(rest[small], capacity, cluster[small], source[small])
     row, piece = np.concatenate((row, small)), np.concatenate((piece, full[small]))
     box = np.concatenate((np.arange(len(row) - len(small)), own + len(row) - len(small)))
     start = piece * capacity
@@ -124,11 +129,11 @@ def containers(docs: DataFrame, configs: DataFrame, folder: str | None = None, s
     """config_name, container_id, doc_id, piece, start_token, end_token of every piece of a document.
 
     docs: doc_id, text, source. configs: config_name, capacity_tokens, a fixed table of a few rows.
-    apart: also keep documents of one source (of the 62 commonest hash classes) apart where it costs no room.
+    apart: also keep documents of one source apart where a container with room allows it; each source of a shard has a bit.
     """
     cluster = F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " ")))
-    source = F.pmod(F.xxhash64("source"), F.lit(62)).cast("int") if apart else F.lit(-1)
-    rows = docs.select("doc_id", "text", cluster.alias("cluster"), F.coalesce(source, F.lit(-1)).alias("source_no"))
+    source = F.when(F.col("source").isNotNull(), F.xxhash64("source")) if apart else F.lit(None).cast("long")
+    rows = docs.select("doc_id", "text", cluster.alias("cluster"), F.coalesce(source, F.lit(-1).cast("long")).alias("source_no"))
     sized = stored(counted(rows, folder).where("n_tokens > 0"))
     shards = max(1, -(-sized.count() // shard))
     each = [F.struct(F.lit(r["config_name"]).alias("config_name"), F.lit(int(r["capacity_tokens"])).alias("capacity")) for r in configs.collect() if r["capacity_tokens"] and r["capacity_tokens"] > 0]
@@ -147,4 +152,4 @@ def fill(packed: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def packed_tables(spark, sf_dir: str, folder: str | None = None) -> DataFrame:
-    return containers(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_configs"), folder)
+    return containers(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_configs"), folder, apart=True)

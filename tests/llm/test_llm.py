@@ -279,6 +279,18 @@ def test_containers_hold_every_token_once(spark):
     assert packing.containers(none, spark.read.parquet(f"{SF}/pack_configs.parquet")).count() == 0
 
 
+def test_registered_packing_keeps_sources_apart(spark, tmp_path):
+    docs = [(1, "ab " * 300, "a"), (2, "cd " * 290, "b"), (3, "ef " * 100, "a"), (4, "gh " * 90, None), (5, "  ", "a")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    n = {r["doc_id"]: len(r["ids"]) for r in queries.p6_ids(spark, str(tmp_path)).collect()}
+    spark.createDataFrame([("one", n[1] + n[3] + 5)], "config_name string, capacity_tokens int").write.parquet(f"{tmp_path}/pack_configs.parquet")
+    box = {r["doc_id"]: r["container_id"] for r in queries.p7_containers(spark, str(tmp_path)).collect()}
+    assert box[3] == box[2] != box[1] == box[4]  # the tightest container for 3 is that of 1, of the same source
+    assert queries.p7_fill(spark, str(tmp_path)).first()["n_containers"] == 2
+    # where every container holds the source, the one without the cluster is taken
+    assert packing.pack(np.array([60, 55, 30]), 100, np.array([7, -1, 7]), np.array([0, 0, 0])).tolist() == [0, 1, 1]
+
+
 def cut(text):
     return [text[a:b] for a, b in sentences.split(text)]
 
