@@ -53,7 +53,7 @@ def named_groups(labels: DataFrame) -> DataFrame:
 def program_groups(programs: DataFrame) -> DataFrame:
     """rec_id, group_name of every program whose task_id names a task."""
     rows = programs.select("rec_id", task_names(F.col("task_id")).alias("names")).where("size(names) > 0")
-    links = rows.where("size(names) > 1").select(F.get("names", F.lit(0)).alias("u"), F.explode(F.slice("names", 2, 1000)).alias("v"))
+    links = rows.where("size(names) > 1").select(F.get("names", F.lit(0)).alias("u"), F.explode(F.slice("names", F.lit(2), F.size("names"))).alias("v"))
     labels, _ = spanning_forest(links)
     groups = named_groups(labels)
     first = rows.select("rec_id", F.get("names", F.lit(0)).alias("node"))

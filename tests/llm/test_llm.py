@@ -279,6 +279,13 @@ def test_containers_hold_every_token_once(spark):
     assert packing.containers(none, spark.read.parquet(f"{SF}/pack_configs.parquet")).count() == 0
 
 
+def test_task_id_of_many_names_links_all_of_them(spark):
+    names = [f"A-ARR-{k:04d}" for k in range(1200)]
+    rows = [(1, " ".join(names)), (2, names[1]), (3, names[-1]), (4, "B-ARR-0001"), (5, None)]
+    got = components.program_groups(spark.createDataFrame(rows, "rec_id long, task_id string")).collect()
+    assert {r["rec_id"]: r["group_name"] for r in got} == {1: names[0], 2: names[0], 3: names[0], 4: "B-ARR-0001"}
+
+
 def test_registered_packing_keeps_sources_apart(spark, tmp_path):
     docs = [(1, "ab " * 300, "a"), (2, "cd " * 290, "b"), (3, "ef " * 100, "a"), (4, "gh " * 90, None), (5, "  ", "a")]
     spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
