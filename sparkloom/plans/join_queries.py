@@ -79,6 +79,21 @@ def type_compat(spark, d):
     return r.join(c, "type").select("type", "producers", "consumers", (F.col("producers") * F.col("consumers") - F.col("same")).alias("pairs"))
 
 
+_FN = _SIG.replace("F=[A-Za-z0-9_]+", "F=([A-Za-z0-9_]+)")
+
+
+@query(rf"""WITH f AS (SELECT rec_id, {", ".join(f"regexp_extract_all(tk_source, '{_FN}', {k}) AS x{k}" for k in (1, 2, 3))} FROM programs WHERE tk_source IS NOT NULL),
+g AS (SELECT rec_id, unnest(range(len(x1))) AS place, unnest(x1) AS fn, unnest(x2) AS params, unnest(x3) AS ret FROM f)
+SELECT rec_id, place, fn, CASE WHEN params NOT LIKE '%;%' THEN split_part(params, ':', 2) END AS param, ret FROM g""")
+def type_members(spark, d):
+    """Every function with the classes it belongs to: param (null: several, empty: none) and ret. The pairs of a type in
+    type_compat are its rows by ret joined to its rows by param, without a row and itself."""
+    rx = lambda k: F.regexp_extract_all("tk_source", F.lit(_FN), F.lit(k))
+    f = table(spark, d, "programs").select("rec_id", F.posexplode(F.arrays_zip(rx(1).alias("fn"), rx(2).alias("params"), rx(3).alias("ret"))).alias("place", "z"))
+    param = F.when(~F.col("z.params").contains(";"), F.coalesce(F.get(F.split("z.params", ":"), F.lit(1)), F.lit("")))
+    return f.select("rec_id", F.col("place").cast("long").alias("place"), "z.fn", param.alias("param"), "z.ret")
+
+
 @query("""SELECT p.provider_name, s.source_name, count(DISTINCT t.trial_id) AS n_trials FROM (SELECT DISTINCT provider_name FROM trial_results WHERE provider_name IS NOT NULL) p CROSS JOIN task_sources s
 LEFT JOIN (SELECT DISTINCT trial_id, provider_name, source_name FROM trial_results JOIN (SELECT DISTINCT task_id, source_name FROM programs) q USING (task_id)) t ON t.provider_name = p.provider_name AND t.source_name = s.source_name GROUP BY 1, 2""")
 def trial_matrix(spark, d):

@@ -259,3 +259,13 @@ def test_inverse_frequency_all_covers_every_document(spark, tmp_path):
     got = {r["term"]: (r["df"], r["idf"]) for r in catalogue.QUERIES["inverse_frequency_all"](spark, str(tmp_path)).collect()}
     df = {"stra\u00dfe": 2, "na\u00efve": 1, "\u0434\u043e\u043c": 1, "the": 2, "dom": 1}
     assert got == {t: (n, round(math.log(6 / (n + 1)) + 1, 6)) for t, n in df.items()}
+
+
+def test_type_members_rebuild_the_pairs_that_type_compat_counts(spark):
+    from sparkloom.plans import catalogue
+
+    d = "/root/testdata/sf0.001"
+    m = catalogue.QUERIES["type_members"](spark, d).collect()
+    counts = {r["type"]: r["pairs"] for r in catalogue.QUERIES["type_compat"](spark, d).collect()}
+    pairs = {t: sum(a["ret"] == t and b["param"] == t and a is not b for a in m for b in m) for t in counts}
+    assert pairs == counts and sum(pairs.values()) > 0
