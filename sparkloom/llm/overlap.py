@@ -1,8 +1,8 @@
 """Records of evaluation splits that stand in the train split too (problem 1).
 
-The runs of three tokens of the evaluation records are partitioned by hash, the train records are
-scanned for hits in the same partitions (windows and cells of nearjoin, pairs only across the
-sides), and the containment of each evaluation record in each train record it meets is computed.
+Both sides go through the near join of nearjoin (windows of their rarest runs of three tokens, pairs
+only across the sides), and the containment of each evaluation record in each train record near it is
+computed. A record that stands whole in a much longer train record isn't near it and doesn't show.
 
 Defined cases: a null or unknown split belongs to no side; null texts can still overlap by task_id;
 versions are the same if both ids name the same one or both name none.
