@@ -13,7 +13,10 @@ import uuid
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -79,13 +82,15 @@ def chunks(n_chars: list[int], most: int):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a new local one."""
+    """The folder of spark.checkpoint.dir; where it is unset, a new local one in local mode (tests), else an error."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d is None:
         known = sc._jsc.sc().getCheckpointDir()
         if known.isDefined():
             return known.get()
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = "file://" + os.path.join(tempfile.gettempdir(), f"sparkloom-{uuid.uuid4().hex}")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(d)
@@ -98,6 +103,67 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BITS = 1 << 29  # most bits of a filter that is broadcast: 64 MB
+
+
+def slice_bits(n: int, slices: int) -> int:
+    """Bits of each slice of a filter of n keys: 16 a key, a power of two, BITS in all at most."""
+    most = max(BITS // slices, 8)
+    return 1 << min(max((16 * n // slices).bit_length(), 10), most.bit_length() - 1)
+
+
+def bit_slice(keys: np.ndarray, bits: int) -> bytes:
+    out = np.zeros(bits, dtype=bool)
+    out[(keys % U64(bits)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def has_bits(filters: np.ndarray, part: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key is set in the slice of its part (filters: bytes by slice)."""
+    bit = (keys % U64(filters.shape[1] * 8)).astype(np.int64)
+    return (filters[part, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+
+
+def narrowed(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs (id, text) without most rows whose id isn't among ids: a filter of at most 64 MB is broadcast.
+
+    Made before a join, so that the texts it needs no more aren't shuffled; rows that stay by chance
+    fall out in the join.
+    """
+    spark, slices = docs.sparkSession, 16
+    ids = stored(ids.distinct())
+    bits = slice_bits(ids.count(), slices)
+
+    def key(x: np.ndarray) -> np.ndarray:
+        return mix(x.astype(np.int64).view(U64) + U64(7))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"s": pdf["s"][:1], "bits": [bit_slice(key(pdf["id"].to_numpy()) >> U64(4), bits)]})
+
+    def slots(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["id"], "s": (key(pdf["id"].to_numpy()) & U64(slices - 1)).astype(np.int64)})
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"s": pdf["s"][:1], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]]).tobytes()]})
+
+    # ids of a slice are taken in hash groups first, so no task holds a whole slice of a large set
+    groups = F.pmod(F.xxhash64("id"), F.lit(n_parts(spark)))
+    first = ids.mapInPandas(slots, "id long, s long").groupBy("s", groups.alias("g")).applyInPandas(one, "s long, bits binary")
+    filters = np.zeros((slices, bits // 8), dtype=np.uint8)
+    for r in first.groupBy("s").applyInPandas(merge, "s long, bits binary").collect():
+        filters[r["s"]] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(filters)
+
+    def keep(batches):
+        for b in batches:
+            k = key(b.column("id").to_numpy(zero_copy_only=False))
+            ok = has_bits(shared.value, (k & U64(slices - 1)).astype(np.int64), k >> U64(4))
+            yield b.filter(pa.array(ok))
+
+    return docs.select("id", "text").mapInArrow(keep, "id long, text string")
+
+
 def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

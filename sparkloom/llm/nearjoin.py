@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE, U64, Rolling, chunks, mix, n_parts, stored
+from .arrays import BASE, U64, Rolling, chunks, mix, n_parts, narrowed, stored
 
 WIDTH = 1 << 20  # counters of the sketch: 4 MB, whatever the input
 CROWDED = 1000  # documents above the sketch's mean, from which a cell is divided
@@ -337,8 +337,8 @@ def members(docs: DataFrame, min_tokens: int) -> DataFrame:
     return docs.select("id", "text", "side").mapInPandas(run, "id long, cls long, n long, side int")
 
 
-def _compare(batches, threshold: float, min_tokens: int):
-    """Exact similarity of the two texts of each row."""
+def compared(batches, min_tokens: int, keep):
+    """Common runs and runs of the two texts of each row that keep(both, na, nb) lets pass."""
     for pdf in batches:
         for s in chunks((pdf["ta"].str.len() + pdf["tb"].str.len() + 100).tolist(), CHUNK):
             part = pdf.iloc[s]
@@ -351,16 +351,25 @@ def _compare(batches, threshold: float, min_tokens: int):
                 k = np.sort((row.astype(U64) << U64(48)) | (key & RUN))
                 both = np.bincount((k[1:][k[1:] == k[:-1]] >> U64(48)).astype(np.int64), minlength=hi - lo)
                 na, nb = n[: hi - lo], n[hi - lo :]
-                ok = both >= threshold * (na + nb - both) - 1e-9
+                ok = keep(both, na, nb)
                 yield pd.DataFrame({"a": part["a"].to_numpy()[lo:hi], "b": part["b"].to_numpy()[lo:hi], "both": both, "na": na, "nb": nb})[ok]
 
 
+def verified(met: DataFrame, text: DataFrame, min_tokens: int, keep) -> DataFrame:
+    """a, b, both, na, nb of the pairs (a, b, ida, idb; stored) whose texts (id, text) pass; only texts of pairs are shuffled."""
+    text = narrowed(text, met.select(F.explode(F.array("ida", "idb")).alias("id")))
+    full = met.join(text.select(F.col("id").alias("ida"), F.col("text").alias("ta")), "ida").join(text.select(F.col("id").alias("idb"), F.col("text").alias("tb")), "idb")
+    return full.select("a", "b", "ta", "tb").mapInPandas(lambda it: compared(it, min_tokens, keep), "a long, b long, both long, na long, nb long")
+
+
 def near_classes(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20) -> tuple[DataFrame, DataFrame]:
     """(members, pairs of near classes with their common runs).
 
     docs: id (unique, long), text, side (1: may stand left, 2: right, 3: both of a pair). pairs:
     a, b (classes), both, na, nb (common runs and runs of each). members is stored.
     """
+    if threshold <= 2 / 3:
+        raise ValueError("the windows need a threshold above 2/3")
     spark = docs.sparkSession
     parts = n_parts(spark)
     count = sketch(docs, min_tokens)
@@ -370,10 +379,8 @@ def near_classes(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20)
     met = pieces.groupBy("part").applyInPandas(lambda p: _meet(p, threshold), "a long, b long").distinct()
     first = who.groupBy("cls").agg(F.min("id").alias("id"))
     text = docs.select("id", "text")
-    met = met.join(first.select(F.col("cls").alias("a"), F.col("id").alias("ida")), "a").join(first.select(F.col("cls").alias("b"), F.col("id").alias("idb")), "b")
-    full = met.join(text.select(F.col("id").alias("ida"), F.col("text").alias("ta")), "ida").join(text.select(F.col("id").alias("idb"), F.col("text").alias("tb")), "idb")
-    pairs = full.select("a", "b", "ta", "tb").mapInPandas(lambda it: _compare(it, threshold, min_tokens), "a long, b long, both long, na long, nb long")
-    return who, pairs
+    met = stored(met.join(first.select(F.col("cls").alias("a"), F.col("id").alias("ida")), "a").join(first.select(F.col("cls").alias("b"), F.col("id").alias("idb")), "b"))
+    return who, verified(met, text, min_tokens, lambda both, na, nb: both >= threshold * (na + nb - both) - 1e-9)
 
 
 def near_pairs(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20) -> DataFrame:

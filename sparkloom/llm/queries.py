@@ -22,7 +22,17 @@ def p1_found(spark, d):
 
 
 def p1_overlaps(spark, d):
-    return overlap.overlaps(_programs(spark, d))
+    """One row per evaluation record with its class and numbers of links."""
+    return overlap.links(_programs(spark, d))
+
+
+def p1_pairs(spark, d):
+    """Pairs of classes with their containment; p1_classes holds the members."""
+    return overlap.classes(_programs(spark, d))[1]
+
+
+def p1_classes(spark, d):
+    return overlap.classes(_programs(spark, d))[0]
 
 
 def p1_report(spark, d):
@@ -88,7 +98,7 @@ def p8_found(spark, d):
     return sentences.sentences(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_overlaps, p1_report, p2_found, p2_splits, p3_found, p3_share, p4_found, p4_collapsed, p5_found, p5_groups, p6_ids, p7_containers, p7_fill, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_overlaps, p1_pairs, p1_classes, p1_report, p2_found, p2_splits, p3_found, p3_share, p4_found, p4_collapsed, p5_found, p5_groups, p6_ids, p7_containers, p7_fill, p8_found)}
 
 # Extraction of task names for the SQL forms below.
 _NAMES = r"""
@@ -107,8 +117,9 @@ SELECT t.rec_id, min(r.v) AS group_name FROM tasks t JOIN reach r ON t.name = r.
 WITH toks AS (SELECT rec_id, regexp_extract_all(lower(tk_source), '[a-z0-9_]+|[=+*/%<>!&|(){}.:\-\[\]]') AS t FROM programs WHERE tk_source IS NOT NULL),
 runs AS (SELECT DISTINCT rec_id, t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] AS g FROM (SELECT rec_id, t, unnest(range(1, len(t) - 1)) AS i FROM toks WHERE len(t) >= 20)),
 n AS (SELECT rec_id, count(*) AS n FROM runs GROUP BY 1),
-rare AS (SELECT g FROM runs GROUP BY g HAVING count(*) BETWEEN 2 AND 200),
-cand AS (SELECT DISTINCT a.rec_id AS lo, b.rec_id AS hi FROM runs a JOIN rare USING (g) JOIN runs b USING (g) WHERE a.rec_id < b.rec_id),
+ranked AS (SELECT rec_id, g, row_number() OVER (PARTITION BY rec_id ORDER BY c, g) AS r, count(*) OVER (PARTITION BY rec_id) AS n FROM runs JOIN (SELECT g, count(*) AS c FROM runs GROUP BY 1) USING (g)),
+pre AS (SELECT rec_id, g FROM ranked WHERE r <= n - ceil(0.7 * n - 1e-9) + 1),
+cand AS (SELECT DISTINCT a.rec_id AS lo, b.rec_id AS hi FROM pre a JOIN pre b USING (g) WHERE a.rec_id < b.rec_id),
 both_ AS (SELECT lo, hi, count(*) AS c FROM cand JOIN runs a ON a.rec_id = lo JOIN runs b ON b.rec_id = hi AND a.g = b.g GROUP BY 1, 2)
 SELECT lo AS lo_id, hi AS hi_id FROM both_ JOIN n x ON x.rec_id = lo JOIN n y ON y.rec_id = hi WHERE c >= 0.7 * (x.n + y.n - c) - 1e-9
 """,
@@ -120,7 +131,7 @@ keyed AS (SELECT rec_id, split, regexp_extract(x, '^([A-D]-[A-Z]{3})', 1) AS are
 """
 ORACLE["p1_found"] = f"""
 WITH near AS ({ORACLE["p5_found"]}), {_SINGLE.strip()},
-task AS (SELECT least(a.rec_id, b.rec_id) AS lo_id, greatest(a.rec_id, b.rec_id) AS hi_id FROM keyed a JOIN keyed b USING (area, number, version) WHERE a.split = 'train' AND b.split IN ('validation', 'test'))
+task AS (SELECT least(a.rec_id, b.rec_id) AS lo_id, greatest(a.rec_id, b.rec_id) AS hi_id FROM keyed a JOIN keyed b USING (area, number, version) WHERE version <> '' AND a.split = 'train' AND b.split IN ('validation', 'test'))
 SELECT lo_id, hi_id FROM near JOIN programs a ON a.rec_id = lo_id JOIN programs b ON b.rec_id = hi_id WHERE (a.split = 'train' AND b.split IN ('validation', 'test')) OR (b.split = 'train' AND a.split IN ('validation', 'test'))
 UNION SELECT lo_id, hi_id FROM task
 """

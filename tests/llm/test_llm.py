@@ -47,18 +47,63 @@ def test_near_pairs_are_those_of_brute_force(spark, monkeypatch, crowded):
 
 
 def test_near_pairs_of_nothing(spark):
+    with pytest.raises(ValueError):
+        nearjoin.near_pairs(spark.createDataFrame([], "id long, text string"), 0.6)
     df = spark.createDataFrame([], "id long, text string, part long")
     assert nearjoin.near_pairs(df).count() == 0
 
 
+def two_sides(spark, rows):
+    return spark.createDataFrame(rows, "rec_id long, split string, tk_source string, task_id string").selectExpr("*", "'s' source_name", "1 side", "2 cls")
+
+
 def test_overlap_finds_texts_and_tasks_across_splits(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, "train", text, "A-ARR-0001v2"), (2, "test", text + " w9", None), (3, "validation", None, "a_arr_1V2"), (4, "test", None, "A-ARR-0001"), (5, None, text, "A-ARR-0001v2"), (6, "train", None, "A-ARR-0001"), (7, "test", None, "A-ARR-0001v2+B-MAP-0002")]
-    df = spark.createDataFrame(rows, "rec_id long, split string, tk_source string, task_id string").selectExpr("*", "'s' source_name", "1 side")
-    assert set(map(tuple, overlap.found(df).collect())) == {(1, 2), (1, 3), (4, 6)}
-    got = {(r["train_id"], r["eval_id"]): r for r in overlap.overlaps(df).collect()}
-    assert got[1, 2]["containment"] == pytest.approx(58 / 59) and got[1, 3]["containment"] is None
-    assert sum(r["overlapping"] for r in overlap.report(df).collect()) == 3
+    df = two_sides(spark, rows)
+    assert set(map(tuple, overlap.found(df).collect())) == {(1, 2), (1, 3)}  # 4 and 6 name no version
+    got = {r["rec_id"]: r for r in overlap.links(df).collect()}
+    assert got[2]["containment"] == pytest.approx(58 / 59, abs=1e-6) and got[2]["n_containing"] == 1
+    assert got[3]["n_task"] == 1 and got[3]["class_id"] is None and got[4]["n_task"] == got[7]["n_task"] == 0
+    assert sum(r["overlapping"] for r in overlap.report(df).collect()) == 2
+    assert overlap.found(df.limit(0)).count() == overlap.links(df.limit(0)).count() == 0
+
+
+def test_a_record_inside_a_longer_one_and_short_equal_ones(spark):
+    random.seed(8)
+    inner = " ".join(f"w{random.randrange(10**6)}" for _ in range(60))
+    around = " ".join(f"x{random.randrange(10**6)}" for _ in range(100))
+    rows = [(1, "train", f"{around} {inner} {around[::-1]}", None), (2, "test", inner, None), (3, "train", "M=a; F=b(c)", None), (4, "validation", "m=A F = b ( c )", None), (5, "test", "M=a; F=c(b)", None), (6, "test", " ;\n", None), (7, "train", "; ;", None), (8, "train", inner.upper(), None)]
+    df = two_sides(spark, rows)
+    got = {r["rec_id"]: (r["n_equal"], r["n_containing"], r["containment"]) for r in overlap.links(df).collect()}
+    assert got == {2: (1, 1, 1.0), 4: (1, 0, 1.0), 5: (0, 0, None), 6: (0, 0, None)}
+    pairs = overlap.classes(df)[1].collect()
+    assert [(r["eval_class"], r["train_class"], r["containment"]) for r in pairs] == [(2, 1, 1.0)]
+    assert set(map(tuple, overlap.found(df).collect())) == {(2, 8)}
+
+
+@pytest.mark.parametrize("cell", [overlap.CELL, 2])
+def test_containment_is_that_of_brute_force(spark, monkeypatch, cell):
+    monkeypatch.setattr(overlap, "CELL", cell)
+    monkeypatch.setattr(overlap, "PAIRS", 50)
+    rows = families()
+    split = {i: ("train", "test", "validation", "train", None)[i % 5] for i, _ in rows}
+    longer = [(1000 + i, "train", f"{t} {rows[0][1]}", None) for i, t in rows[50:60]]
+    df = two_sides(spark, [(i, split[i], t, None) for i, t in rows] + longer)
+    sets = {i: s for i, _, t, _ in [(i, 0, t, 0) for i, t in rows] + longer if (s := runs(t)) is not None}
+    side = {**split, **{x[0]: "train" for x in longer}}
+    want = {(e, t) for e in sets for t in sets if side[e] in ("test", "validation") and side[t] == "train" and len(sets[e] & sets[t]) >= 0.7 * len(sets[e]) - 1e-9}
+    members, pairs = overlap.classes(df)
+    of = {}
+    for r in members.collect():
+        of.setdefault((r["class_id"], r["side"]), []).append(r["rec_id"])
+    got = {(e, t) for r in pairs.collect() for e in of[r["eval_class"], "evaluation"] for t in of[r["train_class"], "train"]}
+    got |= {(e, t) for (c, s), x in of.items() if s == "evaluation" for e in x for t in of.get((c, "train"), [])}
+    assert {(e, t) for e, t in got if e in sets} == want
+    n = {r["rec_id"]: r["n_equal"] + r["n_containing"] for r in overlap.links(df).collect()}
+    assert all(n[e] == sum(x == e for x, _ in want) for e in sets if side[e] in ("test", "validation"))
+    near = {(min(e, t), max(e, t)) for e, t in want if len(sets[e] & sets[t]) >= 0.7 * len(sets[e] | sets[t]) - 1e-9}
+    assert set(map(tuple, overlap.found(df).collect())) == near
 
 
 def test_task_names(spark):
