@@ -55,7 +55,7 @@ RULES: dict[str, list[tuple[bool, str, str]]] = {
         ),
     ],
     "de": [
-        (False, r"(?i)\b(?:am|im|der|die|das|den|dem|des|vom|zum|zur|bis|ab|beim|ein|eine|einen|einem|einer|und|oder)\s+\p{Nd}{1,3}\.", r"(?=\s+\p{L})"),
+        (False, r"(?i:\b(?:am|im|der|die|das|den|dem|des|vom|zum|zur|bis|ab|beim|ein|eine|einen|einem|einer|und|oder))\s+\p{Nd}{1,3}\.", r"(?=\s+\p{L})"),
         (False, WORD + r"\p{Nd}{1,3}\.", r"(?=\s+(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember|Versuch|Lauf|Kapitel|Fassung|Auflage|Jahrhundert)\b)"),
         *_abbreviations(
             "z. B., z.B., d. h., d.h., u. a., u.a., i. d. R., z. T., z.T., o. ä., s. o., s. u., z., d., u., ca., bzw., vgl., Vgl., ggf., evtl., Hr., Fr., Dr., Prof., inkl., exkl., zzgl., sog., insb., allg., St., Str., ehem., gem., lt., entspr., Abt.",
@@ -104,25 +104,47 @@ RULES: dict[str, list[tuple[bool, str, str]]] = {
 }
 
 # The languages of each script, in the order of their tables.
-SCRIPTS = {
-    "Latin": ("en", "de", "fr", "es"),
-    "Cyrillic": ("ru",),
-    "Greek": ("el",),
-    "Han": ("zh",),
-    "Hiragana": ("ja", "zh"),
-    "Katakana": ("ja", "zh"),
-    "Devanagari": ("hi",),
-    "Arabic": ("ar",),
-    "Thai": ("th",),
+SCRIPTS: dict[str, list[tuple[str, ...]]] = {
+    "Latin": [("en", "de", "fr", "es")],
+    "Cyrillic": [("ru",)],
+    "Greek": [("el",)],
+    "Han": [("zh",)],
+    "Hiragana": [("ja",), ("zh",)],
+    "Katakana": [("ja",), ("zh",)],
+    "Devanagari": [("hi",)],
+    "Arabic": [("ar",)],
+    "Thai": [("th",)],
 }
 _SCRIPT = {s: regex.compile(rf"\p{{{s}}}") for s in SCRIPTS}
 
 
-@lru_cache(maxsize=128)
-def _cascade(languages: tuple[str, ...]) -> list[tuple[bool, regex.Pattern]]:
-    rules = [r for name in (*languages, "all") for r in RULES[name]]
+@lru_cache(maxsize=1024)
+def _table(names: tuple[str, ...], skip: int | None) -> tuple[list[tuple[bool, regex.Pattern, regex.Pattern]], regex.Pattern | None]:
+    """Rules of the tables in order; for a number of characters that close the mark, as one pattern, whose last group
+    is the number of the first rule that matches."""
     # the pattern before looks at the mark itself; what closes it lies between the mark and the gap
-    return [(b, regex.compile(f"(?<={before})" if before else ""), regex.compile(after)) for b, before, after in rules]
+    rules = [(b, f"(?<={before})" if before else "", after) for name in names for b, before, after in RULES[name]]
+    if skip is None:
+        return [(b, regex.compile(x), regex.compile(y)) for b, x, y in rules], None
+    gap = f"(?s:.{{{skip}}})" if skip else ""
+    return [(b, None, None) for b, _, _ in rules], regex.compile("|".join(f"{x}{gap}{y}()" for _, x, y in rules))
+
+
+JOINED = 4  # closing characters for which the rules are joined
+
+
+def _verdict(tables: list[tuple[str, ...]], text: str, p: int, end: int, hi: int) -> bool | None:
+    """What the first rule that matches says of a mark that ends at p and is closed by [p, end)."""
+    for names in tables:
+        rules, joined = _table(names, end - p if end - p <= JOINED else None)
+        if joined is not None:
+            if m := joined.match(text, p, hi):
+                return rules[m.lastindex - 1][0]
+        else:
+            for brk, before, after in rules:
+                if before.match(text, p, hi) and after.match(text, end, hi):
+                    return brk
+    return None
 
 
 MARKS = regex.compile(r"[.!?…؟۔।॥。！？｡．‼⁇⁈⁉;;]+")
@@ -136,45 +158,46 @@ FRONT = regex.compile(r"\s*(?:[-*+•‣◦–#]+\s+)?(?:\p{Nd}{1,4}[.)．）]|\
 # Opening characters and what closes them.
 PAIRS = {"“": "”", "„": "“”", "«": "»", "‹": "›", '"': '"', "「": "」", "『": "』", "（": "）", "(": ")", "[": "]", "【": "】", "《": "》", "〈": "〉", "〝": "〟", "｢": "｣"}
 BRACKETS = "（([【《〈"
-OPENERS = regex.compile("[" + regex.escape("".join(PAIRS)) + "]")
+CLOSERS: dict[str, str] = {}  # closing character -> openers that it closes
+for _o, _cs in PAIRS.items():
+    for _c in _cs:
+        CLOSERS[_c] = CLOSERS.get(_c, "") + _o
+FENCES = regex.compile("[" + regex.escape("".join(dict.fromkeys([*PAIRS, *CLOSERS]))) + "]")
 CLOSE = set("”’»›」』）)]】》〉〟｣\"'")
 THAI = regex.compile(r"(?<=[ก-ฺเ-๎])[^\S\r\n]+(?=[ก-ฺเ-๎])")
 UNCASED = regex.compile(r"\s*[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Arabic}\p{Devanagari}]")
 
 
 def _spans(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
-    """Outermost quotations and brackets of a paragraph."""
+    """Outermost quotations and brackets of a paragraph: one pass with a stack for each kind of opener."""
+    waiting: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for m in FENCES.finditer(text, lo, hi):
+        c, at = m[0], m.start()
+        for op in CLOSERS.get(c, ""):
+            if stack := waiting.get(op):
+                ends[stack.pop()] = at + 1
+        if c in PAIRS:
+            waiting.setdefault(c, []).append(at)
     out, at = [], lo
-    while m := OPENERS.search(text, at, hi):
-        s, op = m.start(), m[0]
-        close = PAIRS[op]
-        depth, e = 0, -1
-        for k in regex.finditer("[" + regex.escape(op + close) + "]", text, pos=s + 1, endpos=hi):
-            if k[0] in close:
-                if not depth:
-                    e = k.end()
-                    break
-                depth -= 1
-            elif op not in close:
-                depth += 1
-        if e < 0:
-            at = s + 1
-        else:
-            out.append((s, e))
-            at = e
+    for s in sorted(ends):
+        if s >= at:
+            out.append((s, ends[s]))
+            at = ends[s]
     return out
 
 
 def _breaks(text: str, lo: int, hi: int) -> list[int]:
     """Positions within [lo, hi), part of a paragraph, after which a new sentence begins."""
-    languages = []
-    for s, names in SCRIPTS.items():
+    tables: list[tuple[str, ...]] = []
+    for s, own in {"Latin": SCRIPTS["Latin"]}.items() if text[lo:hi].isascii() else SCRIPTS.items():
         if _SCRIPT[s].search(text, lo, hi):
-            languages += [n for n in names if n not in languages]
-    rules = _cascade(tuple(languages))
+            tables += [t for t in own if t not in tables]
+    languages = {n for t in tables for n in t}
+    tables.append(("all",))
     spans = _spans(text, lo, hi)
     starts, ends = [s for s, _ in spans], {e - 1: i for i, (_, e) in enumerate(spans)}
-    greek = _SCRIPT["Greek"]
+    greek = [m.start() for m in _SCRIPT["Greek"].finditer(text, lo, hi)] if "el" in languages else []
     front = FRONT.match(text, lo, hi)
     front_end = front.end() if front else lo
     out, begin = [], lo
@@ -191,7 +214,7 @@ def _breaks(text: str, lo: int, hi: int) -> list[int]:
                 out.append(p)
                 begin = p
             continue
-        if mark[-1] in ";;" and not ("el" in languages and greek.search(text, begin, p)):
+        if mark[-1] in ";;" and bisect.bisect_left(greek, begin) >= bisect.bisect_left(greek, p):
             continue
         end = p
         while end < hi:
@@ -199,7 +222,7 @@ def _breaks(text: str, lo: int, hi: int) -> list[int]:
                 if text[end] == "'" and end + 1 < hi and text[end + 1].isalnum():
                     break
                 end += 1
-            elif r := REFERENCE.match(text, end, hi):
+            elif text[end] == "[" and (r := REFERENCE.match(text, end, hi)):
                 end = r.end()
             elif text[end] in "    " and end + 1 < hi and text[end + 1] in "»›" and end + 1 in ends:
                 end += 2
@@ -209,17 +232,15 @@ def _breaks(text: str, lo: int, hi: int) -> list[int]:
             s, e = spans[inside]
             if end < e:
                 continue
-            lead = text[begin:s].strip()
+            lead = s - 1
+            while lead >= begin and text[lead].isspace():
+                lead -= 1
             if text[s] in BRACKETS:
-                if lead:
+                if lead >= begin:
                     continue
-            elif lead[-1:] not in (":", "：") and UNCASED.match(text, end, hi):
+            elif (lead < begin or text[lead] not in ":：") and UNCASED.match(text, end, hi):
                 continue
-        verdict = None
-        for brk, before, after in rules:
-            if before.match(text, p, hi) and after.match(text, end, hi):
-                verdict = brk
-                break
+        verdict = _verdict(tables, text, p, end, hi)
         if verdict is None and inside >= 0 and UNCASED.match(text, end, hi):
             verdict = True
         if verdict:
