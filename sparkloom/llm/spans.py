@@ -6,7 +6,10 @@ neighbouring runs with one seed form a stretch. Stretches, not runs, are sent to
 their seed: a seed of one record only ends there; equal stretches of two records are shared whole
 (matching statistics of at least the threshold at every start); stretches that only have a seed in
 common are sent once more, as the hashes of their runs, one record standing for equal stretches.
-Lengths count code points; hashes have 64 bits.
+What a task can judge from its own records isn't sent: of equal stretches or runs of several records
+it sends one, of a seed with many different stretches two, so a passage that stands in any number of
+records costs a few entries per task. Lengths count code points; equal means equal in 96 bits of
+hashes (32 and 64, of different runs or bases); characters are not compared.
 
 Defined cases: null, empty and shorter texts have no rows; what repeats within one record only is
 not shared; equal records are shared whole; empty tables give no rows.
@@ -19,13 +22,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE, U64, Rolling, chunks, codes, mix, n_parts, stored
+from .arrays import BASE2, U64, Rolling, chunks, codes, mix, n_parts, stored
 
 CHUNK = 1_500_000
 FLUSH = 700_000
 GROUP_CHARS = 25_000_000  # characters whose stretches (one in about 25) one group holds, on average
-_STRETCH = np.dtype([("seed", "<u4"), ("run", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("n", "<u2")])
-_WINDOW = np.dtype([("run", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("n", "<u2"), ("many", "?")])
+MIXED = 16  # different stretches of a seed in a task from which the task judges them itself
+PLAIN, MANY, ASKED = 0, 1, 2  # an entry; one for several judged records; one of a judged seed
+_STRETCH = np.dtype([("seed", "<u4"), ("run", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("n", "<u2"), ("flag", "u1")])
+_WINDOW = np.dtype([("run", "<u8"), ("check", "<u4"), ("doc", "<u4"), ("start", "<u4"), ("many", "?")])
 _PLACE = np.dtype([("start", "<u4"), ("n", "<u2")])
 _WANT = np.dtype([("start", "<u4"), ("n", "<u2"), ("many", "?")])
 
@@ -64,14 +69,13 @@ def stretches(texts: list[str], length: int):
 
 def _pack(part: np.ndarray, parts: int, ids: np.ndarray, entries: np.ndarray) -> pd.DataFrame:
     by = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[by], np.arange(parts + 1))
+    part = part[by]
+    first = np.flatnonzero(np.diff(part, prepend=-1))
     rows = []
-    for p in range(parts):
-        e = entries[by[cuts[p] : cuts[p + 1]]]
-        if len(e):
-            own, at = np.unique(e["doc"], return_inverse=True)
-            e["doc"] = at
-            rows.append((p, ids[own].tobytes(), e.tobytes()))
+    for a, b in zip(first, np.append(first[1:], len(by))):
+        e = entries[by[a:b]]
+        own, e["doc"] = np.unique(e["doc"], return_inverse=True)
+        rows.append((int(part[a]), ids[own].tobytes(), e.tobytes()))
     return pd.DataFrame(rows, columns=["part", "ids", "entries"])
 
 
@@ -111,16 +115,79 @@ def _several(group: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-SENT = "part long, ids binary, entries binary"
+SENT = "part long, ids binary, entries binary, id long, whole binary, want binary"
 ANSWER = "id long, whole binary, want binary"
 
 
+def _places(start: np.ndarray, n) -> np.ndarray:
+    out = np.zeros(len(start), dtype=_PLACE)
+    out["start"], out["n"] = start, n
+    return out
+
+
+def _answers(ids: np.ndarray, places: np.ndarray, ask_ids: np.ndarray | None = None, wants: np.ndarray | None = None) -> pd.DataFrame:
+    rows = [(i, b, None) for i, b in _by_id(ids, places)]
+    rows += [(i, None, b) for i, b in _by_id(ask_ids, wants)] if wants is not None else []
+    return pd.DataFrame(rows, columns=["id", "whole", "want"])
+
+
+def _sent(entries: pd.DataFrame, answers: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Entries, and answers that pass through any partition."""
+    answers = answers.assign(part=answers["id"].to_numpy(np.int64) % parts, ids=None, entries=None)
+    entries = entries.assign(id=None, whole=None, want=None)
+    out = pd.concat([x for x in (entries, answers) if len(x)]) if len(entries) or len(answers) else entries
+    return out.astype({"id": "Int64", "part": np.int64})[["part", "ids", "entries", "id", "whole", "want"]]
+
+
+def _received(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    passed = pdf["entries"].isna()
+    return pdf[~passed], pdf.loc[passed, ["id", "whole", "want"]]
+
+
+class _Judged:
+    """Stretches (ids, e) by seed and run, with what is known of each: several (records have it), first (of its run),
+    seed_several, mixed (the seed has different stretches), n_runs (of its seed)."""
+
+    def __init__(self, ids: np.ndarray, e: np.ndarray):
+        by, run = _groups(e["seed"], e["run"])
+        self.ids, self.e = ids[by], e[by]
+        ids, e = self.ids, self.e
+        self.first = np.ones(len(e), dtype=bool)
+        self.first[1:] = run[1:] != run[:-1]
+        new = np.ones(len(e), dtype=bool)
+        new[1:] = e["seed"][1:] != e["seed"][:-1]
+        seed = np.cumsum(new) - 1
+        several, seed_several = _several(run, ids), _several(seed, ids)
+        np.logical_or.at(several, run, e["flag"] == MANY)
+        np.logical_or.at(seed_several, seed, e["flag"] != PLAIN)
+        self.n_runs = np.bincount(seed, self.first)[seed].astype(np.int64) if len(e) else seed
+        mixed = np.zeros(len(seed_several), dtype=bool)
+        np.logical_or.at(mixed, seed, (self.n_runs > 1) | (e["flag"] == ASKED))
+        self.several, self.seed_several, self.mixed = several[run], seed_several[seed], mixed[seed]
+        self.edge = new | np.append(new[1:], True)[: len(e)]  # first and last of a seed: different runs, if it is mixed
+
+    def wants(self, ask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out = np.zeros(int(ask.sum()), dtype=_WANT)
+        out["start"], out["n"], out["many"] = self.e["start"][ask], self.e["n"][ask], self.several[ask]
+        return self.ids[ask], out
+
+
 def _send_stretches(batches, length: int, parts: int):
     held, ids, size = [], [], 0
 
     def flush():
-        e = np.concatenate(held)
-        return _pack((e["seed"] % parts).astype(np.int64), parts, np.concatenate(ids), e)
+        e, own = np.concatenate(held), np.concatenate(ids)
+        number = e["doc"].astype(np.int64)
+        e["doc"] = np.arange(len(e))
+        j = _Judged(own[number], e)
+        here = (j.n_runs > MIXED) & j.seed_several
+        whole = j.several
+        answers = _answers(j.ids[whole], _places(j.e["start"][whole], j.e["n"][whole]), *j.wants(here & (j.first | ~whole)))
+        send = np.where(here, j.edge, j.first | ~whole)
+        out = j.e[send]
+        out["flag"] = np.where(here[send], ASKED, np.where(whole[send], MANY, PLAIN))
+        out["doc"] = number[out["doc"]]
+        return _sent(_pack((out["seed"] % parts).astype(np.int64), parts, own, out), answers, parts)
 
     for pdf in batches:
         pdf = pdf[pdf["text"].notna()]
@@ -141,27 +208,25 @@ def _send_stretches(batches, length: int, parts: int):
 
 def _judge_stretches(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per record: stretches shared whole, and those whose runs are to be compared one by one."""
-    ids, e = _unpack(pdf, _STRETCH)
-    by, of_seed = _groups(e["seed"])
-    seed_ok = np.zeros(len(e), dtype=bool)
-    seed_ok[by] = _several(of_seed, ids[by])[of_seed]
-    ids, e = ids[seed_ok], e[seed_ok]
-    if not len(e):
-        return pd.DataFrame({"id": [], "whole": [], "want": []})
-    by, of_run = _groups(e["seed"], e["run"])
+    entries, passed = _received(pdf)
+    if not len(entries):
+        return passed
+    j = _Judged(*_unpack(entries, _STRETCH))
+    whole = j.several & (j.e["flag"] != MANY)  # those of MANY have been answered
+    ask = j.seed_several & j.mixed & (j.first | ~j.several) & (j.e["flag"] != ASKED)
+    answers = _answers(j.ids[whole], _places(j.e["start"][whole], j.e["n"][whole]), *j.wants(ask))
+    return pd.concat([answers, passed]) if len(passed) else answers
+
+
+def _runs(ids: np.ndarray, e: np.ndarray):
+    """Runs ordered by hash, whether another record has the same, and the first of each."""
+    by, group = _groups(e["run"], e["check"])
     ids, e = ids[by], e[by]
-    whole = _several(of_run, ids)[of_run]
-    first = np.concatenate(([True], of_run[1:] != of_run[:-1]))
-    new_seed = np.concatenate(([True], e["seed"][1:] != e["seed"][:-1]))
-    of_seed = np.cumsum(new_seed) - 1
-    mixed = (np.bincount(of_seed[first]) > 1)[of_seed]  # the seed has different stretches
-    ask = mixed & (first | ~whole)
-    place = np.zeros(len(e), dtype=_PLACE)
-    place["start"], place["n"] = e["start"], e["n"]
-    want = np.zeros(len(e), dtype=_WANT)
-    want["start"], want["n"], want["many"] = e["start"], e["n"], whole
-    rows = [(i, b, None) for i, b in _by_id(ids[whole], place[whole])] + [(i, None, b) for i, b in _by_id(ids[ask], want[ask])]
-    return pd.DataFrame(rows, columns=["id", "whole", "want"])
+    shared = _several(group, ids)
+    np.logical_or.at(shared, group, e["many"])
+    first = np.ones(len(e), dtype=bool)
+    first[1:] = group[1:] != group[:-1]
+    return ids, e, shared[group], first
 
 
 def _send_windows(batches, length: int, parts: int):
@@ -169,7 +234,7 @@ def _send_windows(batches, length: int, parts: int):
         texts, own, wants = pdf["text"].tolist(), pdf["id"].to_numpy(), pdf["wants"].tolist()
         for s in chunks([len(t) + 20 for t in texts], CHUNK):
             c, off = codes(texts[s])
-            roll = Rolling(mix(c.astype(U64) + U64(1)))
+            value = mix(c.astype(U64) + U64(1))
             lists = [np.frombuffer(b"".join(w), _WANT) for w in wants[s]]
             w = np.concatenate(lists)
             doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
@@ -178,20 +243,24 @@ def _send_windows(batches, length: int, parts: int):
             d = np.repeat(doc, n)
             e = np.zeros(len(start), dtype=_WINDOW)
             at = start + off[d]
-            e["run"], e["doc"], e["start"], e["n"], e["many"] = mix(roll.of(at, at + length)), d, start, 1, np.repeat(w["many"], n)
-            yield _pack((e["run"] >> U64(40)).astype(np.int64) % parts, parts, own[s], e)
+            e["run"], e["doc"], e["start"], e["many"] = mix(Rolling(value).of(at, at + length)), d, start, np.repeat(w["many"], n)
+            e["check"] = mix(Rolling(value, BASE2).of(at, at + length)) & U64(0xFFFFFFFF)
+            ids, e, shared, first = _runs(own[s][d], e)
+            known = shared & ~e["many"]
+            answers = _answers(ids[known], _places(e["start"][known], 1))
+            out = e[first | ~shared]
+            out["many"] = shared[first | ~shared]
+            yield _sent(_pack((out["run"] >> U64(40)).astype(np.int64) % parts, parts, own[s], out), answers, parts)
 
 
 def _judge_windows(pdf: pd.DataFrame) -> pd.DataFrame:
-    ids, e = _unpack(pdf, _WINDOW)
-    by, group = _groups(e["run"])
-    ids, e = ids[by], e[by]
-    ok = _several(group, ids)
-    np.logical_or.at(ok, group, e["many"])
-    ok = ok[group] & ~e["many"]
-    place = np.zeros(int(ok.sum()), dtype=_PLACE)
-    place["start"], place["n"] = e["start"][ok], 1
-    return pd.DataFrame([(i, b, None) for i, b in _by_id(ids[ok], place)], columns=["id", "whole", "want"])
+    entries, passed = _received(pdf)
+    if not len(entries):
+        return passed
+    ids, e, shared, _ = _runs(*_unpack(entries, _WINDOW))
+    ok = shared & ~e["many"]
+    answers = _answers(ids[ok], _places(e["start"][ok], 1))
+    return pd.concat([answers, passed]) if len(passed) else answers
 
 
 def _union(batches, length: int):

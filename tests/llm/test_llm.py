@@ -226,6 +226,21 @@ def span_rows():
     return [*rows, (60, None), (61, ""), (62, rows[0][1]), (63, "q" * 500), (64, "r" * 300 + "s"), (65, "t" + "r" * 250)]
 
 
+@pytest.mark.parametrize("mixed,flush,chunk", [(16, 700_000, 1_500_000), (1, 40, 1_500_000), (2, 10, 1000)])
+def test_spans_of_hot_passages_are_those_of_brute_force(spark, monkeypatch, mixed, flush, chunk):
+    """A passage in most records, with other text around it in each: judged in the tasks that hold it."""
+    monkeypatch.setattr(spans, "MIXED", mixed)
+    monkeypatch.setattr(spans, "FLUSH", flush)
+    monkeypatch.setattr(spans, "CHUNK", chunk)
+    random.seed(11)
+    word = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    head, tail = word(180), word(140)
+    rows = [(i, word(random.randrange(80)) + head + word(random.randrange(90)) + (tail if i % 3 else "") + word(30)) for i in range(60)]
+    rows = span_rows()[:20] + [(100 + i, t) for i, t in rows] + [(200, head), (201, head[:120]), (202, rows[5][1]), (203, word(400)), (204, head + head)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    assert set(map(tuple, spans.shared_spans(df).collect())) == brute_spans(rows, 100)
+
+
 def test_spans_are_those_of_brute_force_and_automata(spark):
     rows = span_rows()
     df = spark.createDataFrame(rows, "id long, text string").selectExpr("*", "1 part", "'x' whole")
@@ -376,6 +391,17 @@ def test_sentences(parts, text):
     assert cut(text) == [p.strip() for p in parts]
 
 
+def test_brackets_that_never_close_cost_no_more_than_others():
+    import time
+
+    began = time.time()
+    assert len(sentences.split("( " * 200_000)) == 1
+    assert len(sentences.split("(a. “b. " * 20_000 + "End.")) > 1
+    assert len(sentences.split("α; " + "x; (a.) " * 20_000)) > 1
+    assert time.time() - began < 20
+    assert sentences._spans('a "b (c" d) "e" “f „g“ h” (i', 0, 28) == [(2, 8), (12, 15), (19, 22)]
+
+
 def test_sentences_of_nothing(spark):
     assert cut("") == cut(None) == cut(" \n\t ") == []
     df = spark.createDataFrame([(1, None), (2, ""), (3, " Ja. Nein. ")], "doc_id long, text string")
