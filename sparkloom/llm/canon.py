@@ -3,8 +3,10 @@
 Code points run through one lookup table: 0 skips (white space, invisible characters, quotation
 marks), SEP marks a separator, all else is folded in case. Polynomial hashes over the kept code
 points are taken by wrapping prefix sums; import statements and the fields of types are hashed one
-by one and added up, which makes their order void. No canonical string is built. Rows whose 128-bit
-hashes agree are compared code point by code point with the row that is kept.
+by one and added up, which makes their order void. Folded code points exist as one array for a batch
+of at most CHUNK characters while it is hashed or compared; no string of them is built, and none is
+shuffled or stored. Rows whose 128-bit hashes agree are compared code point by code point with the
+row that is kept.
 
 Defined cases: null sources and those with nothing left are no case; text that only looks like an
 import or a type (other braces, parentheses or equals signs in it) is ordinary text, in its order.
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE, BASE2, U64, Rolling, chunks, codes, mix, stored
+from .arrays import BASE, BASE2, U64, Rolling, chunks, codes, mix, narrowed, stored
 
 SEP = 1
 # Brackets that Unicode counts as quotation marks by property, not by name.
@@ -166,17 +168,19 @@ def hashed(rows: DataFrame) -> DataFrame:
     return rows.select("id", "text").mapInPandas(run, "id long, h1 long, h2 long")
 
 
-def copies(rows: DataFrame, per_salt: int = 5000) -> DataFrame:
-    """keep_id, copy_id for every copy of an earlier row. rows: id (unique, long), text.
+HOT = 100_000  # rows from which a group of copies is hot; there are at most as many hot groups as are broadcast
 
-    A group of any size is split by salts of about `per_salt` copies for the comparison.
-    """
+
+def _found(rows: DataFrame, per_salt: int) -> tuple[DataFrame, DataFrame]:
+    """(hashes of all rows with something left, stored; keep_id, copy_id)."""
     h = stored(hashed(rows))
-    groups = h.groupBy("h1", "h2").agg(F.min("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1")
-    salts = F.ceil(F.col("n") / per_salt).cast("int")
-    pairs = h.join(groups.withColumn("salts", salts), ["h1", "h2"]).where("id <> keep_id")
+    groups = stored(h.groupBy("h1", "h2").agg(F.min("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1").withColumn("salts", F.ceil(F.col("n") / per_salt).cast("int")))
+    # members of hot groups never meet in one task: HOT or more rows each, so their list is bounded and broadcast
+    least = max(HOT, h.count() // HOT)
+    hot, rest = F.broadcast(groups.where(F.col("n") >= least)), groups.where(F.col("n") < least)
+    pairs = h.join(hot, ["h1", "h2"]).unionByName(h.join(hot, ["h1", "h2"], "left_anti").join(rest, ["h1", "h2"])).where("id <> keep_id")
     pairs = stored(pairs.select("keep_id", F.col("id").alias("copy_id"), F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt")))
-    text = rows.select("id", "text")
+    text = narrowed(rows, pairs.select(F.explode(F.array("keep_id", "copy_id")).alias("id")))
     kept = pairs.select("keep_id", "salt").distinct().join(text.select(F.col("id").alias("keep_id"), F.col("text").alias("tk")), "keep_id")
     both = pairs.join(text.select(F.col("id").alias("copy_id"), F.col("text").alias("tc")), "copy_id").join(kept, ["keep_id", "salt"])
 
@@ -191,16 +195,25 @@ def copies(rows: DataFrame, per_salt: int = 5000) -> DataFrame:
                 ok[i] = [p.same(k, k + len(i)) for k in range(len(i))]
             yield pdf.loc[ok, ["keep_id", "copy_id"]]
 
-    return both.select("keep_id", "copy_id", "tk", "tc").mapInPandas(check, "keep_id long, copy_id long")
+    return h, both.select("keep_id", "copy_id", "tk", "tc").mapInPandas(check, "keep_id long, copy_id long")
+
+
+def copies(rows: DataFrame, per_salt: int = 5000) -> DataFrame:
+    """keep_id, copy_id for every copy of an earlier row. rows: id (unique, long), text.
+
+    A group of any size is split by salts of about `per_salt` copies for the comparison.
+    """
+    return _found(rows, per_salt)[1]
 
 
 def sources(programs: DataFrame, parallel: DataFrame) -> DataFrame:
     return programs.select(F.col("rec_id").alias("id"), F.col("tk_source").alias("text")).unionByName(parallel.select(F.col("rec_id").alias("id"), F.col("toke_source").alias("text"))).where("text is not null")
 
 
-def collapsed(rows: DataFrame) -> DataFrame:
+def collapsed(rows: DataFrame, per_salt: int = 5000) -> DataFrame:
     """keep_id, n_copies (itself included) of every kept row with something left."""
-    found = copies(rows)
+    h, found = _found(rows, per_salt)
+    found = stored(found)
     n = found.groupBy("keep_id").agg((F.count("*") + 1).alias("n_copies"))
-    alone = hashed(rows).select("id").join(found.select(F.col("copy_id").alias("id")), "id", "left_anti")
+    alone = h.select("id").join(found.select(F.col("copy_id").alias("id")), "id", "left_anti")
     return alone.withColumnRenamed("id", "keep_id").join(n, "keep_id", "left").select("keep_id", F.coalesce("n_copies", F.lit(1)).alias("n_copies"))

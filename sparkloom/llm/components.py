@@ -8,9 +8,10 @@ forest. State is written to the shared checkpoint folder every round; the driver
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranks import bucket_rank
 from .arrays import stored
 from .tasks import task_names
 
@@ -61,27 +62,26 @@ def program_groups(programs: DataFrame) -> DataFrame:
 
 
 GOLDEN = 0.6180339887498949
+LEVELS, CELLS = 64, 1024  # sizes told apart in a band, hash cells of each
 
 
-def deal(groups: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1), cells: int = 256) -> DataFrame:
+def deal(groups: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1)) -> DataFrame:
     """group_name, size, band, split: groups of one size band (powers of two) are dealt in turn.
 
-    Within a band, in hash order, group k gets the place ``frac(start + k * golden ratio)`` of the
-    unit line, which the shares divide; any run of groups meets the shares closely. Bands of small
-    groups hold most groups and are dealt in hash cells, each with a start of its own, so that no
-    task ranks a whole band; bands of large ones start at 0, the largest first. groups: one row per
-    record, with group_name.
+    Within a band, from the largest of LEVELS sizes down and then in hash order, group k gets the place
+    ``k * golden ratio`` modulo 1 of the unit line, which the shares divide; any run of groups meets the
+    shares closely. Places in the order are taken in cells of a level and hash, whose counts are added
+    up, so no task ranks a band. groups: one row per record, with group_name.
     """
     size = groups.groupBy("group_name").agg(F.count("*").alias("size"))
-    size = size.withColumn("band", F.floor(F.log2("size")).cast("int"))
-    large = F.col("band") >= 8
-    size = size.withColumn("cell", F.when(large, 0).otherwise(F.pmod(F.xxhash64("group_name"), F.lit(cells))))
-    order = [F.when(large, -F.col("size")), F.xxhash64(F.lit(7), "group_name"), F.col("group_name")]
-    k = F.row_number().over(Window.partitionBy("band", "cell").orderBy(*order)) - 1
-    start = F.when(large, 0.0).otherwise(F.pmod(F.xxhash64(F.lit(3), "band", "cell"), F.lit(1 << 20)) / (1 << 20))
-    x = (k * GOLDEN + start) % 1
+    size = size.withColumn("band", F.floor(F.log2("size")).cast("int")).withColumn("h", F.xxhash64(F.lit(7), "group_name"))
+    width = F.shiftleft(F.lit(1).cast("long"), F.col("band"))
+    level = F.floor((2 * width - F.col("size")) * LEVELS / width).cast("long")
+    cell = level * CELLS + F.shiftrightunsigned("h", 54)
+    ranked = bucket_rank(size, cell, [F.col("h"), F.col("group_name")], ["band"], "k")
+    x = ((F.col("k") - 1) * GOLDEN) % 1
     split = F.when(x < shares[0], "train").when(x < shares[0] + shares[1], "validation").otherwise("test")
-    return size.select("group_name", "size", "band", split.alias("split"))
+    return ranked.select("group_name", "size", "band", split.alias("split"))
 
 
 def splits(programs: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1)) -> DataFrame:

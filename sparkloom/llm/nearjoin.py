@@ -226,20 +226,22 @@ def windows(docs: DataFrame, count: np.ndarray, pivots: list[np.ndarray], thresh
     level, crowded = _rank(count)
     shared = docs.sparkSession.sparkContext.broadcast((level, pivots))
 
+    most = max(FLUSH, min(4 * parts, 4 * FLUSH))  # larger pieces where there are many partitions
+
     def pieces(held, known):
         order = np.array([(c, n, s) for c, (_, n, s) in known.items()], dtype=_DOC)
         cell, doc, place = (np.concatenate(x) for x in zip(*held))
         part = (cell % U64(parts)).astype(np.int64)
         by = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[by], np.arange(parts + 1))
+        part = part[by]
+        first = np.flatnonzero(np.diff(part, prepend=-1))
         rows = []
-        for k in range(parts):
-            i = by[cuts[k] : cuts[k + 1]]
-            if len(i):
-                own, at = np.unique(doc[i], return_inverse=True)
-                e = np.zeros(len(i), dtype=_ENTRY)
-                e["cell"], e["doc"], e["place"] = cell[i], at, np.minimum(place[i], 65535)
-                rows.append((k, order[own].tobytes(), e.tobytes()))
+        for a, b in zip(first, np.append(first[1:], len(by))):
+            i = by[a:b]
+            own, at = np.unique(doc[i], return_inverse=True)
+            e = np.zeros(len(i), dtype=_ENTRY)
+            e["cell"], e["doc"], e["place"] = cell[i], at, np.minimum(place[i], 65535)
+            rows.append((int(part[a]), order[own].tobytes(), e.tobytes()))
         return pd.DataFrame(rows, columns=["part", "docs", "entries"])
 
     def run(batches):
@@ -266,7 +268,7 @@ def windows(docs: DataFrame, count: np.ndarray, pivots: list[np.ndarray], thresh
                     own = region[row, r]
                     held.append((mix(cell[own] + U64(r)), number[row[own]], place[own]))
                     size += int(own.sum())
-                if size > FLUSH:
+                if size > most:
                     yield pieces(held, known)
                     held, known, size = [], {}, 0
         if size:
