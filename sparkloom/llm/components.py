@@ -75,7 +75,7 @@ def deal(groups: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1)
     """
     size = groups.groupBy("group_name").agg(F.count("*").alias("size"))
     size = size.withColumn("band", F.floor(F.log2("size")).cast("int")).withColumn("h", F.xxhash64(F.lit(7), "group_name"))
-    width = F.shiftleft(F.lit(1).cast("long"), F.col("band"))
+    width = F.expr("shiftleft(1L, band)")
     level = F.floor((2 * width - F.col("size")) * LEVELS / width).cast("long")
     cell = level * CELLS + F.shiftrightunsigned("h", 54)
     ranked = bucket_rank(size, cell, [F.col("h"), F.col("group_name")], ["band"], "k")
