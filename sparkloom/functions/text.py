@@ -122,36 +122,99 @@ def structural_hash(source: pd.Series) -> pd.Series:
     return source.map(lambda s: None if s is None else hashlib.sha256(structural_form(s).encode()).hexdigest()[:16])
 
 
-@F.pandas_udf(StringType())
-def compact(source: pd.Series) -> pd.Series:
+def canonical_output(text: Column) -> Column:
+    """Program output for comparison: words of each line parted by one blank, `true` and `false` in lower case, a word that
+    is a plain decimal number with a fraction by its value to 12 places, blank lines at either end dropped."""
+    def word(w: Column) -> Column:
+        value = F.regexp_replace(F.regexp_replace(w.try_cast("decimal(30,12)").cast("string"), "0+$", ""), r"\.$", "")
+        decimal = w.rlike(r"^-?[0-9]{1,18}\.[0-9]{1,12}$")
+        return F.when(F.lower(w).isin("true", "false"), F.lower(w)).when(decimal, F.when(value == "-0", "0").otherwise(value)).otherwise(w)
+
+    line = lambda x: F.array_join(F.transform(words(x), word), " ")
+    rows = F.array_join(F.transform(F.split(F.regexp_replace(text, r"\r\n?", "\n"), "\n"), line), "\n")
+    return F.regexp_replace(rows, r"^\n+|\n+$", "")
+
+
+# Names that say nothing, as a grammar makes them.
+GENERIC = r"(?i)^(?:fn\d+|v\d+|p\d+|i\d+|mod\d+|[xyzabnmt]\d*|_)$"
+
+
+def identifiers(source: Column) -> Column:
+    """Different names that a source defines: module, functions, bindings, parameters."""
+    every = lambda rx: F.regexp_extract_all(source, F.lit(rx), F.lit(1))
+    return F.array_distinct(F.concat(every(r"M=(\w+)"), every(r"F=(\w+)\("), every(r"let\s+(\w+)"), every(r"[(;](\w+):")))
+
+
+def coherence(source: Column) -> Column:
+    """1, 0.5 or 0 by the mean meaning of the names: none for generic ones, full with three letters in a row, else half."""
+    weight = lambda x: F.when(x.rlike(GENERIC), 0.0).when(x.rlike(r"(?i)[a-z]{3,}"), 1.0).otherwise(0.5)
+    names = identifiers(source)
+    mean = F.aggregate(F.transform(names, weight), F.lit(0.0), lambda a, x: a + x) / F.greatest(F.size(names), F.lit(1))
+    return F.when(mean >= 0.8, 1.0).when(mean >= 0.4, 0.5).otherwise(0.0)
+
+
+def penalised(rules: Column, penalties: dict[str, float], otherwise: float, most: int) -> Column:
+    """1 less the penalty of every rule in an array of hits, up to `most` times each, not under 0; null hits don't count."""
+    per = F.create_map(*(F.lit(x) for kv in penalties.items() for x in kv))
+    known = F.filter(F.coalesce(rules, F.array().cast("array<string>")), lambda x: x.isNotNull())
+    one = lambda c: F.coalesce(F.try_element_at(per, c), F.lit(otherwise)) * F.least(F.size(F.filter(known, lambda x: x == c)), F.lit(most))
+    return F.greatest(F.lit(0.0), 1 - F.aggregate(F.array_distinct(known), F.lit(0.0), lambda a, c: a + one(c)))
+
+
+_LITERAL = r'("(?:\\.|[^"\\])*")'
+# White space in any form Unicode has.
+BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WORD = r"[\p{L}\p{M}\p{N}\p{Pc}]"
+
+
+def without_blanks(source: Column) -> Column:
+    """White space dropped outside string literals."""
+    return F.regexp_replace(source, rf"{_LITERAL}|{BLANK}+", "$1")
+
+
+def compact(source: Column) -> Column:
     """White space dropped outside string literals, one blank kept between word characters."""
-    part = regex.compile(r'("(?:\\.|[^"\\])*")|(\w)\s+(?=\w)|\s+')
-    return source.map(lambda s: None if s is None else part.sub(lambda m: m[1] or (m[2] + " " if m[2] else ""), s))
+    # first each run becomes a blank (a literal gets one behind it), then blanks go that don't part words
+    single = F.regexp_replace(source, rf"{_LITERAL}|{BLANK}+", "$1 ")
+    return F.regexp_replace(single, rf"{_LITERAL}|(?<!{_WORD}) | (?!{_WORD})", "$1")
 
 
-# What of a program's output is compared by value.
-OUTPUT_VALUE = r"(?P<flag>\b(?:true|false)\b)|(?P<number>(?<![\w.])-?\d+\.\d+(?:[eE][+-]?\d+)?(?![\w.]))"
+def canonical_source(source: Column) -> Column:
+    """Comments ``(* .. *)`` and white space outside string literals dropped."""
+    return F.regexp_replace(source, rf"{_LITERAL}|(?s:\(\*.*?\*\))|{BLANK}+", "$1")
 
 
-@F.pandas_udf(StringType())
-def canonical_output(text: pd.Series) -> pd.Series:
-    """Program output with booleans in lower case, decimals by value, no trailing blanks or outer blank lines."""
-    rx = regex.compile(OUTPUT_VALUE, regex.I)
-
-    def shown(m) -> str:
-        if m.lastgroup == "flag":
-            return m[0].lower()
-        v = float(m[0])
-        small = -1e15 < v < 1e15
-        return f"{v + 0.0:.0f}" if small and v % 1 == 0 else repr(v)
-
-    def form(s: str) -> str:
-        rows = [row.rstrip() for row in rx.sub(shown, s).splitlines()]
-        while rows and not rows[-1]:
-            rows.pop()
-        first = next((i for i, row in enumerate(rows) if row), 0)
-        if rows:
-            rows[first] = rows[first].lstrip()
-        return "\n".join(rows[first:])
-
-    return text.map(lambda s: None if s is None else form(s))
+def plain_type(t: Column) -> Column:
+    """A type for comparison: no blanks or marks, lower case, arrays as @T."""
+    bare = F.regexp_replace(t, r"[\s$]", "")
+    return F.lower(F.replace(F.replace(bare, F.lit("["), F.lit("@")), F.lit("]"), F.lit("")))
+
+
+def slug(name: Column) -> Column:
+    """Letters a-z and digits of a name; ``unnamed`` where none is left."""
+    kept = F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
+    return F.when(kept == "", "unnamed").otherwise(kept)
+
+
+def finite(x: Column) -> Column:
+    """Null for NaN and infinities."""
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
+def license_class(text: Column) -> Column:
+    """Short name of a licence by its text or name; null counts as empty."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    bsd = F.when(t.contains("3-clause"), "BSD-3-Clause").when(t.contains("2-clause"), "BSD-2-Clause").otherwise("BSD")
+    out = F.when(t.contains("mit license") | t.contains("permission is hereby granted") | (t == "mit"), "MIT").when(t.contains("apache") & t.contains("2"), "Apache-2.0").when(t.contains("bsd"), bsd)
+    out = out.when(t.contains("mozilla") | t.contains("mpl"), "MPL-2.0").when(t.contains("gpl") | t.contains("gnu general public"), "GPL").when(t.contains("isc"), "ISC")
+    return out.when(t.contains("unlicense") | t.contains("public domain") | t.contains("cc0"), "public domain").otherwise("unknown")
+
+
+def lines_match(got: Column, want: Column, tolerance: float = 1e-6) -> Column:
+    """Whether an array of lines begins with those wanted: equal without outer blanks, or numbers within the tolerance."""
+    def same(i: Column) -> Column:
+        g, w = F.trim(F.get(got, i)), F.trim(F.get(want, i))
+        return F.coalesce(g == w, F.lit(False)) | F.coalesce(F.abs(g.try_cast("double") - w.try_cast("double")) < tolerance, F.lit(False))
+
+    every = F.forall(F.sequence(F.lit(0), F.greatest(F.size(want) - 1, F.lit(0))), same)
+    return (F.size(got) >= F.size(want)) & ((F.size(want) == 0) | every)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +28,77 @@ def histogram(value: Column, width: float, last: int) -> Column:
 
 
 def id_hash(df: DataFrame, by: list[str], key: str) -> DataFrame:
-    """SHA-256 over the sorted ids of each group, joined by line breaks. A group's ids must fit one task:
-    for larger sets use merkle_root."""
-    return df.groupBy(*by).agg(F.count("*").alias("n_ids"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), "\n"), 256).alias("ids_hash"))
+    """by, n_ids, ids_hash: SHA-256 over the sorted ids of each group, joined by line breaks (empty without ids).
+
+    Ids stream through one hash in sorted order, so a task holds a batch at a time, whatever the size of a group; a digest
+    of one sequence can't be shared among tasks. bucket_hash is the form that can.
+    """
+    ids = df.select(*by, F.col(key).cast("string").alias("_id"))
+    kinds = ", ".join(f"`{c}` {ids.schema[c].dataType.simpleString()}" for c in by)
+
+    def run(batches):
+        last, digest, n, any_ = None, None, 0, False
+        for pdf in batches:
+            for k, part in pdf.groupby(by, dropna=False, sort=False):
+                k = tuple(None if pd.isna(x) else x for x in k)
+                if k != last:
+                    if last is not None:
+                        yield pd.DataFrame([(*last, n, digest.hexdigest())], columns=[*by, "n_ids", "ids_hash"])
+                    last, digest, n, any_ = k, hashlib.sha256(), 0, False
+                some = part["_id"].dropna()
+                n += len(part)
+                if len(some):
+                    digest.update((("\n" if any_ else "") + "\n".join(some)).encode())
+                    any_ = True
+        if last is not None:
+            yield pd.DataFrame([(*last, n, digest.hexdigest())], columns=[*by, "n_ids", "ids_hash"])
+
+    return ids.repartition(*by).sortWithinPartitions(*by, "_id").mapInPandas(run, f"{kinds}, n_ids long, ids_hash string")
+
+
+def bucket_hash(df: DataFrame, by: list[str], key: str) -> DataFrame:
+    """by, n_ids, ids_hash: SHA-256 over the digests of hash buckets, in their order, of each group's different ids.
+
+    Ids fall into 4,096 buckets by the first three digits of their SHA-256; a bucket's digest is over its sorted ids,
+    joined by line breaks. Buckets spread a group of any size; a group's last digest is over 4,096 of them at most.
+    """
+    ids = df.where(F.col(key).isNotNull()).select(*by, F.col(key).cast("string").alias("_id")).distinct()
+    bucket = F.substring(F.sha2("_id", 256), 1, 3)
+    per = ids.groupBy(*by, bucket.alias("_b")).agg(F.count("*").alias("_n"), F.sha2(F.array_join(F.array_sort(F.collect_list("_id")), "\n"), 256).alias("_h"))
+    digests = F.transform(F.array_sort(F.collect_list(F.struct("_b", "_h"))), lambda x: x["_h"])
+    return per.groupBy(*by).agg(F.sum("_n").alias("n_ids"), F.sha2(F.array_join(digests, "\n"), 256).alias("ids_hash"))
+
+
+def verified(manifest: DataFrame, df: DataFrame, by: list[str], key: str) -> DataFrame:
+    """The rows of a manifest (by, n_ids, ids_hash of bucket_hash) and whether the table gives the same hash; a group that is
+    gone is not valid."""
+    now = bucket_hash(df, by, key).select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col("ids_hash").alias("_now"))
+    both = manifest.join(now, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], "left")
+    return both.select(*manifest.columns, F.col("ids_hash").eqNullSafe(F.col("_now")).alias("valid"))
+
+
+def padding(bins: DataFrame, size: str) -> DataFrame:
+    """bin (tenth of the largest size, the last closed), n_bins, tokens, padding: the share of room left in the bins of it."""
+    room = bins.agg(F.max(size).alias("_room"))
+    at = F.least(F.floor(F.col(size) * 10 / F.greatest("_room", F.lit(1))), F.lit(9)).cast("long")
+    return bins.join(F.broadcast(room)).groupBy(at.alias("bin")).agg(F.count("*").alias("n_bins"), F.sum(size).alias("tokens"), F.round(1 - F.sum(size) / (F.count("*") * F.max("_room")), 6).alias("padding"))
+
+
+def interpolated(df: DataFrame, by: list[str], value: str, percents: dict[str, float]) -> DataFrame:
+    """Percentiles by linear interpolation between the two neighbouring values, nulls left out; null for a group without values.
+
+    Places come from range_rank, so no task or buffer holds the values of a group.
+    """
+    from .ranks import range_rank
+
+    r = range_rank(df.where(F.col(value).isNotNull()).select(*by, value), by, [F.col(value)], "_r", "_n").withColumn("_i", F.col("_r") - 1)
+    at = {n: F.lit(p) * (F.col("_n") - 1) for n, p in percents.items()}
+    near = r.where(F.greatest(F.lit(False), *(F.col("_i").isin(F.floor(x), F.ceil(x)) for x in at.values())))
+    ends = lambda f, x: F.max(F.when(F.col("_i") == f(x), F.col(value)))
+    got = near.groupBy(*by).agg(*(v for n, x in at.items() for v in (ends(F.floor, x).alias(f"_lo_{n}"), ends(F.ceil, x).alias(f"_hi_{n}"), F.max(x - F.floor(x)).alias(f"_w_{n}"))))
+    got = got.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), *((F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")).alias(n) for n in percents))
+    groups = df.select(*by).distinct()
+    return groups.join(got, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], "left").select(*by, *percents)
 
 
 def merkle_root(df: DataFrame, key: Column, value: Column, rank) -> DataFrame:

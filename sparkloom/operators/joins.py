@@ -28,6 +28,14 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_hash: str, right
     return a.join(b, key, "full").select(key, bucket.alias("bucket"))
 
 
+def rebuilt(new: DataFrame, old: DataFrame, key: str, new_hash: str, old_hash: str) -> DataFrame:
+    """A manifest made anew: the new rows with the other fields of the old one, and change (new, same, changed; dropped for
+    keys that only the old one has)."""
+    a, b = new.withColumn("_n", F.lit(True)), old.withColumn("_o", F.lit(True))
+    change = F.when(F.col("_n").isNull(), "dropped").when(F.col("_o").isNull(), "new").when(F.col(old_hash).eqNullSafe(F.col(new_hash)), "same").otherwise("changed")
+    return a.join(b, key, "full").withColumn("change", change).drop("_n", "_o")
+
+
 def fallback(fact: DataFrame, exact: DataFrame, exact_on: list[str], general: DataFrame, general_on: list[str], value: str) -> DataFrame:
     """Value of the exact key, else of the general one."""
     a = exact.withColumnRenamed(value, "_x")

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 
 def seeded(key: Column, seed: int | str) -> Column:
     """A reproducible random order: the SHA-256 of seed and key."""
@@ -45,34 +47,85 @@ def first_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     return out.select(*keys, *(F.col(f"_s.{c}").alias(c) for c in rest))
 
 
+SALTS = 64
+
+
 def first_n(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
-    """First n rows of each group."""
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= n).drop("_r")
+    """First n rows of each group: of every salt of a group first, so no task orders a hot group."""
+    salted = df.withColumn("_s", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    few = salted.withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_s").orderBy(*order))).where(F.col("_r") <= n).drop("_r", "_s")
+    return few.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= n).drop("_r")
+
+
+def range_rank(df: DataFrame, by: list[str], order: list[Column], name: str = "rank", total: str | None = None, running: dict[str, str] | None = None) -> DataFrame:
+    """Rank from 1 within the groups of `by`, in any order, with no task holding a group.
+
+    Rows are cut into ranges of (by, order) and written once (the cut must not change when a task is repeated); places
+    in a range are counted from the first row of the group in it, and counts of the ranges are added up (at most one row
+    for each range and group). total: also the rows of the group; running: {name: column}, sums of a column over the
+    rows before this one. Null keys form a group.
+    """
+    spark = df.sparkSession
+    keys = [F.col(c) for c in by]
+    cut = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order).sortWithinPartitions(*keys, *order)
+    cut = stored(cut.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()))
+    running = running or {}
+    sums = [F.sum(c).alias(f"_sum{k}") for k, c in enumerate(running.values())]
+    per = cut.groupBy("_p", *by).agg(F.min("_i").alias("_first"), F.count("*").alias("_n"), *sums)
+    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before")] + [F.coalesce(F.sum(f"_sum{k}").over(w), F.lit(0)).alias(f"_sum{k}") for k in range(len(running))]
+    whole = F.sum("_n").over(Window.partitionBy(*(by or [F.lit(0)]))).alias("_total")
+    off = per.select(F.col("_p").alias("_q"), *(F.col(c).alias(f"_k{k}") for k, c in enumerate(by)), "_first", *before, whole)
+    match = [F.col("_p") == F.col("_q"), *(F.col(c).eqNullSafe(F.col(f"_k{k}")) for k, c in enumerate(by))]
+    inner = Window.partitionBy("_p", *by).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    for k, c in enumerate(running.values()):
+        cut = cut.withColumn(f"_in{k}", F.coalesce(F.sum(c).over(inner), F.lit(0)))
+    off = F.broadcast(off) if off.limit(10_001).count() <= 10_000 else off
+    out = cut.join(off, match)
+    cols = [(F.col("_before") + F.col("_i") - F.col("_first") + 1).alias(name)]
+    cols += [F.col("_total").alias(total)] if total else []
+    cols += [(F.col(f"_sum{k}") + F.col(f"_in{k}")).alias(n) for k, n in enumerate(running)]
+    return out.select(*df.columns, *cols)
 
 
 def top_fraction(df: DataFrame, by: list[str], order: list[Column], rate: float) -> DataFrame:
     """The first ``max(1, ceil(n * rate))`` rows of each group."""
-    w = Window.partitionBy(*by)
-    n = F.count("*").over(w)
-    r = F.row_number().over(w.orderBy(*order))
-    return df.withColumn("_r", r).withColumn("_n", n).where(F.col("_r") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * rate))).drop("_r", "_n")
+    r = range_rank(df, by, order, "_r", "_n")
+    return r.where(F.col("_r") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * rate))).drop("_r", "_n")
 
 
 def evenly_spaced(df: DataFrame, by: list[str], order: list[Column], most: int) -> DataFrame:
     """Every ``max(1, n // most)``-th row of each group, up to `most`."""
-    w = Window.partitionBy(*by)
-    df = df.withColumn("_r", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_s", F.greatest(F.lit(1), F.floor(F.count("*").over(w) / most)))
-    return df.where((F.col("_r") % F.col("_s") == 0) & (F.col("_r") / F.col("_s") < most)).drop("_r", "_s")
+    r = range_rank(df, by, order, "_r", "_n").withColumn("_s", F.greatest(F.lit(1), F.floor(F.col("_n") / most))).withColumn("_r", F.col("_r") - 1)
+    return r.where((F.col("_r") % F.col("_s") == 0) & (F.col("_r") / F.col("_s") < most)).drop("_r", "_n", "_s")
 
 
 def until_goal(df: DataFrame, by: list[str], order: list[Column], size: str, goal: Column) -> DataFrame:
     """Rows of each group in order, until their sizes reach the goal."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_c", F.coalesce(F.sum(size).over(w), F.lit(0))).where(F.col("_c") < goal).drop("_c")
+    return range_rank(df, by, order, "_r", running={"_c": size}).where(F.col("_c") < goal).drop("_r", "_c")
+
+
+def interleaved(df: DataFrame, by: str, order: list[Column], name: str = "place") -> DataFrame:
+    """Place from 1 when the groups of `by` take turns, in the order of their names (null last), each in its own order.
+
+    A row of round r follows all rows of the rounds before, ``sum(min(n, r - 1))``, and those of its round in the groups
+    before its own. Groups are counted first; their list is a small dimension that every row gets.
+    """
+    r = range_rank(df, [by], order, "_r")
+    groups = df.groupBy(by).agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct(F.col(by).isNull().alias("last"), F.col(by).alias("g"), "n"))).alias("_g"))
+    ahead = F.aggregate("_g", F.lit(0).cast("long"), lambda a, g: a + F.least(g["n"], F.col("_r") - 1) + F.when((g["n"] >= F.col("_r")) & ((g["last"] < F.col(by).isNull()) | ((g["last"] == F.col(by).isNull()) & (g["g"] < F.col(by)))), 1).otherwise(0))
+    return r.join(F.broadcast(groups)).withColumn(name, ahead + 1).drop("_r", "_g")
+
+
+BLOCK = 1_000_000  # rows of a group that a task looks over
 
 
 def rolling_rate(df: DataFrame, by: list[str], order: list[Column], flag: Column, size: int, name: str = "rate") -> DataFrame:
-    """Rate of a flag over the last `size` rows, null before there are so many."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    frame = w.rowsBetween(1 - size, 0)
-    return df.withColumn(name, F.when(F.row_number().over(w) >= size, F.avg(flag.cast("double")).over(frame)))
+    """Rate of a flag over the last `size` rows, null before there are so many. Groups are cut into blocks of BLOCK rows,
+    each with the last ``size - 1`` of the block before."""
+    r = range_rank(df.withColumn("_f", flag.cast("double")), by, order, "_r")
+    block = F.floor((F.col("_r") - 1) / BLOCK)
+    halo = F.when((F.col("_r") - 1) % BLOCK >= BLOCK - size + 1, F.array(block, block + 1)).otherwise(F.array(block))
+    r = r.withColumn("_own", block).withColumn("_b", F.explode(halo))
+    rate = F.avg("_f").over(Window.partitionBy(*by, "_b").orderBy("_r").rowsBetween(1 - size, 0))
+    return r.withColumn(name, F.when(F.col("_r") >= size, rate)).where("_b = _own").drop("_f", "_r", "_own", "_b")

@@ -26,10 +26,10 @@ def oversampled(df: DataFrame, rank: str, n: str, target: str) -> DataFrame:
     return df.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), (times - 1).cast("int"))))
 
 
-def kmeans_1d(values: DataFrame, value: str, k: int, rounds: int = 100) -> DataFrame:
-    """cluster, centre, n_rows, low, high by Lloyd's rounds on a histogram of values rounded to 4 places; centres start at
-    quantiles. The driver holds k centres only. Fewer different values than k give as many clusters."""
-    h = values.where(F.col(value).isNotNull()).groupBy(F.round(value, 4).alias("x")).agg(F.count("*").alias("n")).cache()
+def kmeans_1d(values: DataFrame, value: str, k: int, rounds: int = 100, places: int = 4) -> DataFrame:
+    """cluster, centre, n_rows, low, high by Lloyd's rounds on a histogram of values rounded to `places`, which bounds its
+    rows by the range of the values; centres start at quantiles. The driver holds k centres only. Fewer different values than k give as many clusters."""
+    h = values.where(F.col(value).isNotNull()).groupBy(F.round(value, places).alias("x")).agg(F.count("*").alias("n")).cache()
     try:
         at = h.select(F.percentile("x", F.array(*(F.lit((i + 0.5) / k) for i in range(k))), F.col("n"))).first()[0]
         centres = sorted(set(at or []))

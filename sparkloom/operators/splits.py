@@ -50,3 +50,18 @@ def sample_per(df: DataFrame, by: list[str], key: str, n: int, seed: int) -> Dat
     order = seeded(F.col(key), seed)
     r = bucket_rank(df.withColumn("_h", order), hash_bucket(F.col("_h")), [F.col("_h"), F.col(key)], by)
     return r.where(F.col("rank") <= n).drop("_h", "rank")
+
+
+def representative(df: DataFrame, phase: str, category: str, key: str, limit: int, seed: int) -> DataFrame:
+    """`limit` rows: an equal share of each phase, and in it of each category (one at least), in seeded hash order; chosen
+    tells them from the rows that fill up. Null phases and categories count as such."""
+    rows = df.withColumn("_h", seeded(F.col(key), seed))
+    r = bucket_rank(rows, hash_bucket(F.col("_h")), [F.col("_h"), F.col(key)], [phase, category], "_rank")
+    c = df.select(phase, category).distinct().groupBy(F.col(phase).alias("_p")).agg(F.count("*").alias("_c"))
+    k = df.select(phase).distinct().agg(F.count("*").alias("_k"))
+    c = c.join(F.broadcast(k))
+    r = r.join(F.broadcast(c) if c.limit(10_001).count() <= 10_000 else c, F.col(phase).eqNullSafe(F.col("_p")))
+    each = F.greatest(F.lit(1), F.floor(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("_k"))) / F.col("_c")))
+    chosen = r.withColumn("chosen", F.col("_rank") <= each)
+    # the first of the order are kept by a top-k, which no task gets more of than `limit` rows from each other one
+    return chosen.orderBy(F.desc("chosen"), "_h", key).limit(limit).drop("_h", "_rank", "_p", "_c", "_k")

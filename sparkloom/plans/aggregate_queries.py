@@ -25,10 +25,10 @@ def group_pass_rates(spark, d):
     )
 
 
-@query("""SELECT category, count(judge.score) AS n, round(avg(judge.score) + 1e-9, 6) AS mean, round(stddev_pop(judge.score), 6) AS sd, min(judge.score) AS low, max(judge.score) AS high, count(DISTINCT model) AS n_models FROM programs GROUP BY 1""")
+@query("""SELECT category, count(judge.score) AS n, sum(CAST(judge.score AS DECIMAL(12, 6)))::DOUBLE / count(judge.score) AS mean, round(stddev_pop(judge.score), 6) AS sd, min(judge.score) AS low, max(judge.score) AS high, count(DISTINCT model) AS n_models FROM programs GROUP BY 1""")
 def diversity_stats(spark, d):
     s = F.col("judge.score")
-    return table(spark, d, "programs").groupBy("category").agg(F.count(s).alias("n"), F.round(F.avg(s) + 1e-9, 6).alias("mean"), F.round(F.stddev_pop(s), 6).alias("sd"), F.min(s).alias("low"), F.max(s).alias("high"), F.countDistinct("model").alias("n_models"))
+    return table(spark, d, "programs").groupBy("category").agg(F.count(s).alias("n"), (F.sum(s.cast("decimal(12,6)")).cast("double") / F.count(s)).alias("mean"), F.round(F.stddev_pop(s), 6).alias("sd"), F.min(s).alias("low"), F.max(s).alias("high"), F.countDistinct("model").alias("n_models"))
 
 
 @query("""WITH s AS (SELECT phase, list_sort(list(tk_tokens)) AS l FROM programs WHERE tk_tokens IS NOT NULL GROUP BY 1)
@@ -39,7 +39,8 @@ def nearest_rank_percentiles(spark, d):
 
 @query("""SELECT provider_name, round(quantile_cont(latency_ms, 0.5), 6) AS p50, round(quantile_cont(latency_ms, 0.95), 6) AS p95 FROM trial_results GROUP BY 1""")
 def interpolated_percentiles(spark, d):
-    return table(spark, d, "trial_results").groupBy("provider_name").agg(F.round(F.percentile("latency_ms", F.lit(0.5)), 6).alias("p50"), F.round(F.percentile("latency_ms", F.lit(0.95)), 6).alias("p95"))
+    p = A.interpolated(table(spark, d, "trial_results"), ["provider_name"], "latency_ms", {"p50": 0.5, "p95": 0.95})
+    return p.select("provider_name", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
 
 
 @query("SELECT lang, median(n_chars)::DOUBLE AS median_chars, count(*) AS n_rows FROM documents GROUP BY 1")
@@ -153,21 +154,12 @@ def bleu_pairs(spark, d):
     return A.bleu(table(spark, d, "negative_examples").where("difficulty is not null"), ["difficulty"], "broken_source", "fixed_source")
 
 
-@query("""WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS term FROM documents WHERE lang = 'en')
-SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents WHERE lang = 'en' AND text IS NOT NULL) + 1) / (count(*) + 1)) + 1, 6) AS idf FROM t GROUP BY 1""")
-def inverse_frequency(spark, d):
-    t = table(spark, d, "documents").where("lang = 'en' and text is not null").select("doc_id", "text")
-    n = t.agg(F.count("*").alias("n"))
-    terms = t.select("doc_id", F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: x != ""))).alias("term"))
-    return terms.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(n)).select("term", "df", F.round(F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1, 6).alias("idf"))
-
-
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 @query(f"""WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '{_SPACE}'), lambda x: x <> '')) AS term FROM documents)
 SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents WHERE text IS NOT NULL) + 1) / (count(*) + 1)) + 1, 6) AS idf FROM t GROUP BY 1""")
-def inverse_frequency_all(spark, d):
+def inverse_frequency(spark, d):
     """Over every document with text, in any language; terms are split at white space in any form Unicode has."""
     t = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
     n = t.agg(F.count("*").alias("n"))
@@ -188,6 +180,12 @@ def manifest_hash(spark, d):
     return A.id_hash(table(spark, d, "programs"), ["split"], "id")
 
 
+@query("""WITH b AS (SELECT split, substr(sha256(id), 1, 3) AS b, count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS h FROM (SELECT DISTINCT split, id FROM programs WHERE id IS NOT NULL) GROUP BY 1, 2)
+SELECT split, sum(n)::BIGINT AS n_ids, sha256(string_agg(h, chr(10) ORDER BY b)) AS ids_hash FROM b GROUP BY 1""")
+def manifest_bucket_hash(spark, d):
+    return A.bucket_hash(table(spark, d, "programs"), ["split"], "id")
+
+
 @query("""SELECT category, count(*) AS before, count(DISTINCT sha256(tk_source)) AS after, round(1 - count(DISTINCT sha256(tk_source)) / count(*), 6) AS reduction FROM programs WHERE tk_source IS NOT NULL GROUP BY 1""")
 def reduction_report(spark, d):
     p = table(spark, d, "programs").where("tk_source is not null").select("category", F.sha2("tk_source", 256).alias("h"))

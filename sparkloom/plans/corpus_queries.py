@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import aggregates as A
 from ..operators import dedup as D
 from ..operators import formats as C
 from ..operators import joins as J
@@ -67,8 +68,9 @@ _SIDE = """(SELECT coalesce(source_name, '-') AS source, task_id AS id, CASE WHE
 def stratified_manifest(spark, d):
     t = table(spark, d, "programs").where("task_id is not null").select("source_name", "task_id").distinct()
     e = t.select(F.coalesce("source_name", F.lit("-")).alias("source"), "task_id", (P.hash_side(F.col("source_name"), F.col("task_id")) == "evaluation").alias("e"))
-    ids = F.array_sort(F.collect_list(F.when(F.col("e"), F.col("task_id"))))
-    return e.groupBy("source").agg(F.count("*").alias("n_tasks"), F.count_if("e").alias("n_evaluation"), F.when(F.count_if("e") > 0, F.sha2(F.array_join(ids, "\n"), 256)).alias("manifest_hash"), F.round(1 - F.avg(F.col("e").cast("int")), 6).alias("split_ratio"))
+    h = A.id_hash(e.where("e"), ["source"], "task_id").select("source", F.col("ids_hash").alias("manifest_hash"))
+    n = e.groupBy("source").agg(F.count("*").alias("n_tasks"), F.count_if("e").alias("n_evaluation"), F.round(1 - F.avg(F.col("e").cast("int")), 6).alias("split_ratio"))
+    return n.join(h, "source", "left")
 
 
 @query("""WITH f AS (SELECT regexp_replace(task_id, 'v[0-9]+$', '') AS fam, count(*) AS n_rows, min_by(category, rec_id) FILTER (category IS NOT NULL) AS stratum FROM programs WHERE task_id IS NOT NULL GROUP BY 1),
@@ -89,18 +91,6 @@ def ratio_split(spark, d):
     return P.ratio_split(c, ["bucket"], "rec_id", 0.8, 9).select("rec_id", "bucket", "part")
 
 
-@query(r"""WITH q0 AS (SELECT doc_id AS id, regexp_split_to_array(lower(text), '\s+') AS w FROM documents WHERE lang = 'de' AND text IS NOT NULL), i0 AS (SELECT doc_id AS id, regexp_split_to_array(lower(text), '\s+') AS w FROM documents WHERE lang = 'el' AND text IS NOT NULL),
-q AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM q0) WHERE term <> '' GROUP BY 1, 2), i AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM i0) WHERE term <> '' GROUP BY 1, 2),
-n AS (SELECT count(*) AS n FROM i0), idf AS (SELECT term, ln((n + 1) / (count(*) + 1)) + 1 AS idf FROM i, n GROUP BY term, n),
-iw AS (SELECT id, term, tf * idf AS w FROM i JOIN idf USING (term)), qw AS (SELECT id, q.term, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM q CROSS JOIN n LEFT JOIN idf ON q.term = idf.term),
-s AS (SELECT qw.id AS query_id, iw.id AS item_id, round(sum(qw.w * iw.w) / ((SELECT sqrt(sum(w * w)) FROM iw z WHERE z.id = iw.id) * (SELECT sqrt(sum(w * w)) FROM qw z WHERE z.id = qw.id)), 6) AS sim FROM qw JOIN iw ON qw.term = iw.term GROUP BY qw.id, iw.id),
-b AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, item_id) AS r FROM s)
-SELECT d.doc_id AS query_id, b.item_id, coalesce(b.sim, 0) AS sim FROM documents d LEFT JOIN b ON b.query_id = d.doc_id AND b.r = 1 WHERE d.lang = 'de'""")
-def tfidf_max_sim(spark, d):
-    docs = table(spark, d, "documents")
-    return J.tfidf_best(docs.where("lang = 'de'").select(F.col("doc_id").alias("query_id"), "text"), docs.where("lang = 'el'").select(F.col("doc_id").alias("item_id"), "text"))
-
-
 @query()
 def tfidf_eval_sim(spark, d):
     """Of every program (J12), the most similar one of all validation and test records; no SQL, see tests/test_core.py."""
@@ -126,33 +116,47 @@ def nesting_depth(spark, d):
     return p.select("rec_id", X.nesting_depth(F.col("tk_source"), False).alias("depth"))
 
 
-@query()
+@query(r"""WITH c AS (SELECT rec_id, regexp_replace(tk_source, '[^{}]', '', 'g') AS s FROM programs WHERE tk_source IS NOT NULL), x AS (SELECT rec_id, list_transform(range(1, length(s) + 1), lambda i: CASE WHEN substr(s, i, 1) = '{' THEN 1 ELSE -1 END) AS v FROM c)
+SELECT rec_id, coalesce(list_max(list_transform(range(1, len(v) + 1), lambda i: list_sum(list_slice(v, 1, i)) - least(0, coalesce(list_min(list_transform(range(1, i + 1), lambda j: list_sum(list_slice(v, 1, j)))), 0)))), 0)::BIGINT AS depth FROM x""")
 def nesting_depth_clamped(spark, d):
     p = table(spark, d, "programs").where("tk_source is not null")
     return p.select("rec_id", X.nesting_depth(F.col("tk_source"), True).alias("depth"))
 
 
-@query(f"SELECT rec_id, round(0.3 * least((f + l + c + b + i) / 10, 1) + 0.15 * (CASE WHEN i > 0 THEN 1 ELSE 0 END) + 0.15 * (CASE WHEN f > 1 THEN 1 ELSE 0 END) + 0.4 * least(n / 300, 1), 6)::DOUBLE AS score FROM {_CX}")
+_IDENTS = "list_distinct(list_concat(regexp_extract_all(tk_source, 'M=(\\w+)', 1), regexp_extract_all(tk_source, 'F=(\\w+)\\(', 1), regexp_extract_all(tk_source, 'let\\s+(\\w+)', 1), regexp_extract_all(tk_source, '[(;](\\w+):', 1)))"
+_MEANING = f"list_transform({_IDENTS}, lambda x: CASE WHEN regexp_matches(x, '{X.GENERIC}') THEN 0.0 WHEN regexp_matches(x, '(?i)[a-z]{{3,}}') THEN 1.0 ELSE 0.5 END)"
+_QUALITY = f"""(SELECT rec_id, coalesce(list_avg({_MEANING}), 0) AS meaning, len(regexp_extract_all(tk_source, 'F=\\w+\\(')) AS f, len(regexp_extract_all(tk_source, '\\bI=')) AS i,
+ len(regexp_extract_all(tk_source, 'F=\\w+\\(')) + len(regexp_extract_all(tk_source, 'lp\\(')) + len(regexp_extract_all(tk_source, 'if ?\\(')) + len(regexp_extract_all(tk_source, '\\blet\\s+')) + len(regexp_extract_all(tk_source, '\\bI=')) AS cx FROM programs WHERE tk_source IS NOT NULL AND tk_source <> '')"""
+
+
+@query(f"SELECT rec_id, CASE WHEN meaning >= 0.8 THEN 1.0 WHEN meaning >= 0.4 THEN 0.5 ELSE 0.0 END::DOUBLE AS coherence, cx AS complexity, round(0.4 * CASE WHEN meaning >= 0.8 THEN 1.0 WHEN meaning >= 0.4 THEN 0.5 ELSE 0.0 END + 0.3 * least(cx / 10, 1) + CASE WHEN i > 0 THEN 0.15 ELSE 0 END + CASE WHEN f > 1 THEN 0.15 ELSE 0 END, 4)::DOUBLE AS score FROM {_QUALITY}")
 def quality_composite(spark, d):
-    c = counts(table(spark, d, "programs"))
-    total = F.col("f") + F.col("l") + F.col("c") + F.col("b") + F.col("i")
-    flag = lambda x: F.when(x, 1.0).otherwise(0.0)
-    return c.select("rec_id", F.round(0.3 * F.least(total / 10, F.lit(1.0)) + 0.15 * flag(F.col("i") > 0) + 0.15 * flag(F.col("f") > 1) + 0.4 * F.least(F.col("n") / 300, F.lit(1.0)), 6).alias("score"))
+    """Coherence of the names (0.4), constructs (0.3), imports and several functions (0.15 each)."""
+    s = F.col("tk_source")
+    n = lambda rx: F.size(F.regexp_extract_all(s, F.lit(rx), F.lit(0))).cast("long")
+    q = table(spark, d, "programs").where("tk_source <> ''").select("rec_id", X.coherence(s).alias("coherence"), n(r"F=\w+\(").alias("f"), n(r"\bI=").alias("i"), (n(r"lp\(") + n(r"if ?\(") + n(r"\blet\s+")).alias("o"))
+    q = q.withColumn("complexity", F.col("f") + F.col("i") + F.col("o"))
+    score = 0.4 * F.col("coherence") + 0.3 * F.least(F.col("complexity") / 10, F.lit(1.0)) + F.when(F.col("i") > 0, 0.15).otherwise(0.0) + F.when(F.col("f") > 1, 0.15).otherwise(0.0)
+    return q.select("rec_id", "coherence", "complexity", F.round(score, 4).alias("score"))
 
 
 _WORDS = "['let','mut','if','el','lp','br','as','len','std','bool','str','true']"
-_IFD = f"""(SELECT p.rec_id, p.category, 0.45 * (0.3 * least(f + l, 6) / 6 + 0.3 * ((CASE WHEN l > 0 THEN 1 ELSE 0 END) + (CASE WHEN c > 0 THEN 1 ELSE 0 END) + (CASE WHEN b > 0 THEN 1 ELSE 0 END) + (CASE WHEN i > 0 THEN 1 ELSE 0 END)) / 4.0 + 0.2 * least(length(tk_source) / 500, 1) + 0.2 * least((length(tk_source) - length(replace(tk_source, ';', ''))) / 15, 1)) + 0.2 * len(list_intersect({_WORDS}, regexp_extract_all(lower(tk_source), '[a-z]+'))) / 12 AS s FROM {_CX} x JOIN programs p USING (rec_id))"""
+_IFD = f"""(SELECT p.rec_id, p.category, 0.45 * (0.3 * least(f + l, 6) / 6 + 0.3 * ((CASE WHEN l > 0 THEN 1 ELSE 0 END) + (CASE WHEN c > 0 THEN 1 ELSE 0 END) + (CASE WHEN b > 0 THEN 1 ELSE 0 END) + (CASE WHEN i > 0 THEN 1 ELSE 0 END)) / 4.0 + 0.2 * least(length(tk_source) / 500, 1) + 0.2 * least((length(tk_source) - length(replace(tk_source, ';', ''))) / 15, 1)) + 0.2 * len(list_intersect({_WORDS}, regexp_extract_all(lower(tk_source), '[a-z]+'))) / 12 + 0.35 * CASE WHEN tk_source = '' THEN 0.5 ELSE least(coalesce(r.n, 0) / greatest(length(tk_source), 1), 3) / 3 END AS s FROM {_CX} x JOIN programs p USING (rec_id) LEFT JOIN (SELECT task_id, max(length(python_source)) AS n FROM parallel_corpus WHERE task_id IS NOT NULL GROUP BY 1) r USING (task_id))"""
 
 
 def _proxy(spark, d):
-    p = table(spark, d, "programs").where("tk_source is not null")
+    """Proxy of how hard a program is to write from its instruction: constructs, length of the longest instruction of its
+    task against its own, and different keywords."""
+    told = table(spark, d, "parallel_corpus").where("task_id is not null").groupBy("task_id").agg(F.max(F.length("python_source")).alias("told"))
+    p = table(spark, d, "programs").where("tk_source is not null").join(told, "task_id", "left")
     s = F.col("tk_source")
     has = lambda x: F.when(F.instr(s, x) > 0, 1).otherwise(0)
     words = F.array(*(F.lit(w) for w in ("let", "mut", "if", "el", "lp", "br", "as", "len", "std", "bool", "str", "true")))
     kd = F.size(F.array_intersect(words, F.regexp_extract_all(F.lower(s), F.lit("([a-z]+)"), F.lit(1)))) / 12
     depth = F.least(X.count_of(s, "F=") + X.count_of(s, "lp("), F.lit(6)) / 6
     cx = 0.3 * depth + 0.3 * (has("lp(") + has("if(") + has("let ") + has("I=")) / 4 + 0.2 * F.least(F.length(s) / 500, F.lit(1.0)) + 0.2 * F.least(X.count_of(s, ";") / 15, F.lit(1.0))
-    return p.select("rec_id", "category", (0.45 * cx + 0.2 * kd).alias("s"))
+    ratio = F.when(s == "", 0.5).otherwise(F.least(F.coalesce("told", F.lit(0)) / F.greatest(F.length(s), F.lit(1)), F.lit(3.0)) / 3)
+    return p.select("rec_id", "category", (0.45 * cx + 0.35 * ratio + 0.2 * kd).alias("s"))
 
 
 @query(f"SELECT rec_id, round(s, 6)::DOUBLE AS score FROM {_IFD}")
@@ -166,14 +170,28 @@ def proxy_selection(spark, d):
     return R.top_fraction(p, ["category"], [F.desc("k"), F.col("rec_id")], 0.1).select("rec_id", "category")
 
 
-@query("""WITH v AS (SELECT rec_id, unnest(diagnostics) AS v FROM negative_examples), n AS (SELECT rec_id, v.severity AS s, count(*) AS c FROM v GROUP BY 1, 2), w AS (SELECT rec_id, sum(least(c, 3) * CASE s WHEN 'error' THEN 0.2 WHEN 'warning' THEN 0.1 ELSE 0.05 END) AS p FROM n GROUP BY 1)
+# Penalties of the classes of codes, in the place of lint rules (any other: 0.02).
+_PENALTY = {"E40": 0.15, "E41": 0.15, "E42": 0.15, "E43": 0.2, "E44": 0.05, "E45": 0.02}
+_PENALTY_SQL = "CASE rule " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _PENALTY.items()) + " ELSE 0.02 END"
+
+
+@query(f"""WITH n AS (SELECT rec_id, substr(v.code, 1, 3) AS rule, count(*) AS c FROM (SELECT rec_id, unnest(diagnostics) AS v FROM negative_examples) WHERE v.code IS NOT NULL GROUP BY 1, 2), w AS (SELECT rec_id, sum(least(c, 3) * {_PENALTY_SQL}) AS p FROM n GROUP BY 1)
 SELECT rec_id, round(greatest(0, 1 - coalesce(p, 0)), 6)::DOUBLE AS score FROM negative_examples LEFT JOIN w USING (rec_id)""")
 def penalty_score(spark, d):
-    n = table(spark, d, "negative_examples")
-    v = n.select("rec_id", F.explode("diagnostics").alias("v")).groupBy("rec_id", F.col("v.severity").alias("s")).agg(F.count("*").alias("c"))
-    w = F.when(F.col("s") == "error", 0.2).when(F.col("s") == "warning", 0.1).otherwise(0.05)
-    p = v.groupBy("rec_id").agg(F.sum(F.least("c", F.lit(3)) * w).alias("p"))
-    return n.select("rec_id").join(p, "rec_id", "left").select("rec_id", F.round(F.greatest(F.lit(0.0), 1 - F.coalesce("p", F.lit(0.0))), 6).alias("score"))
+    """1 less the penalties of each rule's diagnostics, three at most of a rule."""
+    n = table(spark, d, "negative_examples").select("rec_id", "diagnostics")
+    return n.select("rec_id", F.round(X.penalised(F.transform("diagnostics", lambda x: F.substring(x["code"], 1, 3)), _PENALTY, 0.02, 3), 6).alias("score"))
+
+
+_WORD_SQL = r"CASE WHEN lower(w) IN ('true', 'false') THEN lower(w) WHEN regexp_full_match(w, '-?[0-9]{1,18}\.[0-9]{1,12}') THEN regexp_replace(regexp_replace(regexp_replace(CAST(CAST(w AS DECIMAL(30, 12)) AS VARCHAR), '0+$', ''), '\.$', ''), '^-0$', '0') ELSE w END"
+_OUTPUT_SQL = rf"regexp_replace(array_to_string(list_transform(string_split(regexp_replace(o, '\r\n?', chr(10), 'g'), chr(10)), lambda l: array_to_string(list_transform(list_filter(regexp_split_to_array(l, '\s+'), lambda y: y <> ''), lambda w: {_WORD_SQL}), ' ')), chr(10)), '^\n+|\n+$', '', 'g')"
+
+
+@query(f"SELECT {_OUTPUT_SQL} AS output, count(*) AS n_rows, count(DISTINCT o) AS n_forms FROM (SELECT differential.majority_output AS o FROM programs UNION ALL SELECT error_output FROM trial_results) WHERE o IS NOT NULL GROUP BY 1")
+def equal_outputs(spark, d):
+    """Outputs that count as equal, with their rows and different forms."""
+    o = table(spark, d, "programs").select(F.col("differential.majority_output").alias("o")).unionByName(table(spark, d, "trial_results").select(F.col("error_output").alias("o")))
+    return o.where("o is not null").groupBy(X.canonical_output(F.col("o")).alias("output")).agg(F.count("*").alias("n_rows"), F.countDistinct("o").alias("n_forms"))
 
 
 @query()
@@ -201,8 +219,8 @@ def weighted_targets(spark, d):
 SELECT rec_id, source, unnest(range(0, (target // n_rows + CASE WHEN r <= target % n_rows THEN 1 ELSE 0 END)::BIGINT)) AS copy FROM r JOIN t USING (source)""")
 def weighted_sample(spark, d):
     """Rows of each source in seeded order, over- or undersampled to the source's target."""
-    t = F.broadcast(_targets(spark, d).where("target > 0"))
-    p = table(spark, d, "programs").select("rec_id", F.col("source_name").alias("source")).join(t, "source").withColumn("h", R.seeded(F.col("rec_id"), 2))
+    t = _targets(spark, d).where("target > 0")
+    p = J.dimension(table(spark, d, "programs").select("rec_id", F.col("source_name").alias("source")), t, ["source"], "inner").withColumn("h", R.seeded(F.col("rec_id"), 2))
     ranked = R.bucket_rank(p, R.hash_bucket(F.col("h")), [F.col("h"), F.col("rec_id")], ["source"])
     return S.oversampled(ranked, "rank", "n_rows", "target").select("rec_id", "source", F.col("copy").cast("long").alias("copy"))
 
@@ -276,10 +294,16 @@ def name_functions(spark, d):
     return p.select("rec_id", X.camel_words(F.regexp_extract("tk_source", "F=([A-Za-z0-9_]+)", 1)).alias("name"), X.short_id(F.col("phase"), F.col("task_id"), F.col("tk_source")).alias("short_id"), X.family(F.col("task_id")).alias("family"))
 
 
-@query()
+_BLANKS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Literals, words with the blanks behind them, and other characters; without blanks, two words that follow each other get one back.
+_PARTS = rf"""list_filter(regexp_extract_all(tk_source, '"(?:\\.|[^"\\])*"|[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]+|{_BLANKS}+|[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]', 0), lambda x: NOT regexp_full_match(x, '{_BLANKS}+'))"""
+
+
+@query(rf"""WITH t AS (SELECT rec_id, {_PARTS} AS t FROM programs WHERE tk_source IS NOT NULL)
+SELECT rec_id, sha256(array_to_string(list_transform(t, lambda x, i: CASE WHEN i > 1 AND regexp_matches(x, '^[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]') AND regexp_matches(t[i - 1], '^[\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}]') THEN ' ' || x ELSE x END), '')) AS source_hash FROM t""")
 def compact_sources(spark, d):
     p = table(spark, d, "programs").where("tk_source is not null")
-    return p.select("rec_id", X.compact(F.col("tk_source")).alias("source"))
+    return p.select("rec_id", F.sha2(X.compact(F.col("tk_source")), 256).alias("source_hash"))
 
 
 @query("""SELECT rec_id, round(0.3 * (CASE WHEN validation.compiler_exit_code = 0 THEN 1 ELSE 0 END) + 0.3 * least(coalesce(len(differential.languages_agreed), 0) / 3, 1) + 0.2 * greatest(0, least(1, 2 - coalesce(tk_tokens, 600) / 300)) + 0.2 * coalesce(judge.score, 0), 6)::DOUBLE AS score FROM programs""")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import gates as G
+from ..operators import joins as J
 from .registry import query, table
 
 _GATE_SQL = r"""CASE WHEN p.tk_source IS NULL OR trim(p.tk_source) = '' THEN 'empty_source'
@@ -27,7 +28,7 @@ def _gated(spark, d):
         ("below_min_score", F.col("judge.score") < 0.6),
         ("no_function", ~F.col("tk_source").rlike(r"F=[A-Za-z_][A-Za-z0-9_]*\(")),
     ]
-    return G.with_reason(p.join(F.broadcast(s), "source_name", "left"), gates)
+    return G.with_reason(J.dimension(p, s, ["source_name"]), gates)
 
 
 @query(f"SELECT coalesce({_GATE_SQL}, 'pass') AS reason, count(*) AS n_rows FROM programs p LEFT JOIN task_sources s USING (source_name) GROUP BY 1")
@@ -45,10 +46,10 @@ def prefix_filter(spark, d):
     return table(spark, d, "programs").select("rec_id", G.starts_with_any(F.col("model"), ["seed", "mutation"], ["mutation-constant"]).alias("open"))
 
 
-@query(r"""SELECT rec_id, regexp_matches(regexp_replace(tk_source, '"(\\.|[^"\\])*"', '""', 'g'), '==|!=|\[[A-Z]') AS flagged FROM programs WHERE tk_source IS NOT NULL""")
+@query(r"""SELECT rec_id, regexp_matches(regexp_replace(tk_source, '"(\\.|[^"\\])*"', '""', 'g'), '[A-Z\[\]]|==|!=') AS flagged FROM programs WHERE tk_source IS NOT NULL""")
 def surface_guard(spark, d):
     p = table(spark, d, "programs").where("tk_source is not null")
-    return p.select("rec_id", X.without_literals(F.col("tk_source")).rlike(r"==|!=|\[[A-Z]").alias("flagged"))
+    return p.select("rec_id", X.without_literals(F.col("tk_source")).rlike(r"[A-Z\[\]]|==|!=").alias("flagged"))
 
 
 @query("""SELECT coalesce(CASE WHEN category LIKE 'A-M%' THEN 'maths' WHEN category LIKE 'A-%' THEN 'seed' WHEN category LIKE '%-NET' THEN 'net' WHEN category LIKE 'C-_FG' THEN 'config' END, 'other') AS kind, count(*) AS n_rows FROM programs GROUP BY 1""")

@@ -54,10 +54,9 @@ def evenly_spaced(spark, d):
 
 @query("SELECT rec_id, row_number() OVER (ORDER BY r, category NULLS LAST, rec_id) AS place FROM (SELECT rec_id, category, row_number() OVER (PARTITION BY category ORDER BY rec_id) AS r FROM programs)")
 def round_robin(spark, d):
-    """Rows of the categories in turn; places by the round as an ordered bucket."""
-    w = Window.partitionBy("category").orderBy("rec_id")
-    p = table(spark, d, "programs").select("rec_id", "category").withColumn("r", F.row_number().over(w))
-    return R.bucket_rank(p, F.col("r"), [F.asc_nulls_last("category"), F.col("rec_id")], name="place").select("rec_id", F.col("place").cast("long").alias("place"))
+    """Rows of the categories in turn."""
+    p = table(spark, d, "programs").select("rec_id", "category")
+    return R.interleaved(p, "category", [F.col("rec_id")]).select("rec_id", F.col("place").cast("long").alias("place"))
 
 
 @query("SELECT source_name, i AS variant FROM task_sources, range(0, 5) t(i)")
@@ -118,10 +117,10 @@ def quota_fill(spark, d):
 SELECT category, h.at AS held_at FROM (SELECT DISTINCT category FROM programs WHERE category IS NOT NULL) LEFT JOIN h USING (category)""")
 def category_hold(spark, d):
     """Number of rows after which a category is held: a fifth rejected at a multiple of 50."""
-    w = Window.partitionBy("category").orderBy("rec_id").rowsBetween(Window.unboundedPreceding, 0)
-    p = table(spark, d, "programs").where("category is not null").select("category", "rec_id", F.when(F.col("judge.accepted"), 0.0).otherwise(1.0).alias("bad"))
-    o = p.withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy("rec_id"))).withColumn("rate", F.avg("bad").over(w))
-    return o.groupBy("category").agg(F.min(F.when((F.col("r") % 50 == 0) & (F.col("rate") >= 0.2), F.col("r"))).cast("long").alias("held_at"))
+    p = table(spark, d, "programs").where("category is not null").select("category", "rec_id", F.when(F.col("judge.accepted"), 0).otherwise(1).alias("bad"))
+    o = R.range_rank(p, ["category"], [F.col("rec_id")], "r", running={"before": "bad"})
+    rate = (F.col("before") + F.col("bad")) / F.col("r")
+    return o.groupBy("category").agg(F.min(F.when((F.col("r") % 50 == 0) & (rate >= 0.2), F.col("r"))).cast("long").alias("held_at"))
 
 
 @query(f"""WITH o AS (SELECT task_id, status, row_number() OVER (PARTITION BY task_id ORDER BY wave, ts, status, coalesce(new_sha256, ''), coalesce(prev_sha256, '')) AS r FROM {_DEDUP}), f AS (SELECT task_id, min(r) FILTER (status = 'failed') AS sticky, max_by(status, r) AS last, count(*) AS n FROM o GROUP BY 1)

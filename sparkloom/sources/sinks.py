@@ -5,21 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
+
+def _fs(spark, path: str):
+    """File system of a path, and the class of its paths."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path
+    return hp(path).getFileSystem(spark._jsc.hadoopConfiguration()), hp
+
 
 def append_new(df: DataFrame, path: str, key: str, held_out: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
-    """Appends the rows whose key is neither in the table nor held out (column id), partitioned; returns what was written."""
+    """Appends the rows whose key is neither in the table nor held out (column id), partitioned; returns what was written.
+
+    Raises if a column of the table is missing or of another type, and if another append to it is under way (a lock file
+    beside the table, which an append that dies leaves behind); a table that can't be read is an error, never an empty one.
+    """
     spark = df.sparkSession
-    new = df.dropDuplicates([key])
-    if held_out is not None:
-        new = new.join(held_out.select(F.col("id").alias(key)), key, "left_anti")
+    fs, hp = _fs(spark, path)
+    lock = hp(path.rstrip("/") + ".lock")
+    fs.create(lock, False).close()
     try:
-        old = spark.read.parquet(path).select(key)
-    except Exception:  # the table doesn't exist yet
-        old = None
-    if old is not None:
-        new = new.join(old, key, "left_anti")
-    new.write.mode("append").partitionBy(*(by or [])).parquet(path)
-    return new
+        new = df.dropDuplicates([key])
+        if held_out is not None:
+            new = new.join(held_out.select(F.col("id").alias(key)), key, "left_anti")
+        if fs.exists(hp(path)):
+            old = spark.read.parquet(path)
+            kinds = {f.name: f.dataType for f in old.schema}
+            wrong = [f.name for f in df.schema if f.name not in (by or []) and kinds.get(f.name) != f.dataType] + [c for c in kinds if c not in df.columns]
+            if wrong:
+                raise ValueError(f"columns that don't agree with the table: {sorted(wrong)}")
+            new = new.join(old.select(F.col(key).cast(df.schema[key].dataType)), key, "left_anti")
+        new = stored(new)
+        new.write.mode("append").partitionBy(*(by or [])).parquet(path)
+        return new
+    finally:
+        fs.delete(lock, False)
 
 
 def two_ways(df: DataFrame, reason: str, accepted: str, rejected: str) -> DataFrame:
@@ -35,25 +55,41 @@ def two_ways(df: DataFrame, reason: str, accepted: str, rejected: str) -> DataFr
 
 
 def manifest(df: DataFrame, path: str) -> None:
-    """Writes a manifest; fails if it exists."""
-    df.coalesce(1).write.mode("errorifexists").json(path)
+    """Writes a manifest in order, one file for each partition of the session; fails if it exists."""
+    df.write.mode("errorifexists").json(path)
+
+
+def recover(spark, path: str) -> None:
+    """Ends an upsert that died between its two renames: without a table, the complete new one takes its place, else the old one."""
+    fs, hp = _fs(spark, path)
+    if not fs.exists(hp(path)):
+        for other in (".new", ".old"):
+            if fs.exists(hp(path + other)) and (other == ".old" or fs.exists(hp(path + other + "/_SUCCESS"))):
+                fs.rename(hp(path + other), hp(path))
+                break
 
 
 def upsert(df: DataFrame, path: str, key: str, order: str) -> None:
-    """Replaces the table at path by the last row of each key in old and new rows; the new files are complete before the
-    old ones go (a second folder, then a rename)."""
+    """Replaces the table at path by the last row of each key in old and new rows.
+
+    The new files are complete before the old ones move; the old ones go only when the new ones stand at path. A crash
+    at any point leaves a whole table at path, or beside it, where the next upsert or recover() finds it.
+    """
     from ..operators.ranks import last_by
 
     spark = df.sparkSession
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    hp = spark._jvm.org.apache.hadoop.fs.Path
-    rows = df
-    if fs.exists(hp(path)):
-        rows = spark.read.parquet(path).unionByName(df)
+    recover(spark, path)
+    fs, hp = _fs(spark, path)
+    there = fs.exists(hp(path))
+    rows = spark.read.parquet(path).unionByName(df) if there else df
     last_by(rows, [key], F.col(order)).select(*df.columns).write.mode("overwrite").parquet(path + ".new")
-    if fs.exists(hp(path)):
-        fs.delete(hp(path), True)
-    fs.rename(hp(path + ".new"), hp(path))
+    if there:
+        fs.delete(hp(path + ".old"), True)
+        if not fs.rename(hp(path), hp(path + ".old")):
+            raise OSError(f"{path} could not be moved")
+    if not fs.rename(hp(path + ".new"), hp(path)):
+        raise OSError(f"{path}.new could not be moved")
+    fs.delete(hp(path + ".old"), True)
 
 
 def jsonl(df: DataFrame, path: str, by: list[str] | None = None) -> None:

@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where it is unset, a new local one in local mode (tests), else an error."""
+    known = spark.sparkContext._jsc.sc().getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
+    if d is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        d = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
+    if not known.isDefined():
+        spark.sparkContext.setCheckpointDir(d)
+    return d
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to the folder of spark.checkpoint.dir; where that is unset (tests), to a local one."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sparkloom-"))
+    """The rows, written to the shared checkpoint folder; lineage ends there."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -46,19 +46,24 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
     return put
 
 
-def rolling_failures(stream: DataFrame, key: str, failed: str, size: int = 100, limit: float = 0.5) -> DataFrame:
+def rolling_failures(stream: DataFrame, key: str, failed: str, size: int = 100, limit: float = 0.5, order: str | None = None) -> DataFrame:
     """Per key, after each batch: rows seen, failure rate of the last `size` outcomes (null before so many) and whether it
-    exceeds the limit. The state holds `size` flags per key."""
+    exceeds the limit. Rows of a batch count in the order given, else as they come. The state holds `size` flags per key;
+    of a batch, a key's last `size` rows are held."""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen, flags = state.get if state.exists else (0, "")
+        last = None
         for pdf in batches:
             seen += len(pdf)
-            flags = (flags + "".join("1" if x else "0" for x in pdf[failed]))[-size:]
+            last = pdf if last is None else pd.concat([last, pdf])
+            last = (last.sort_values(order) if order else last).tail(size)
+        if last is not None:
+            flags = (flags + "".join("1" if x else "0" for x in last[failed]))[-size:]
         state.update((seen, flags))
         rate = flags.count("1") / size if seen >= size else None
         yield pd.DataFrame({key: [k[0]], "seen": [seen], "rate": [rate], "over": [rate is not None and rate > limit]})
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.select(key, failed).groupBy(key).applyInPandasWithState(step, f"{key} {kind}, seen long, rate double, over boolean", "seen long, flags string", "update", GroupStateTimeout.NoTimeout)
+    return stream.select(key, failed, *([order] if order else [])).groupBy(key).applyInPandasWithState(step, f"{key} {kind}, seen long, rate double, over boolean", "seen long, flags string", "update", GroupStateTimeout.NoTimeout)
