@@ -6,7 +6,9 @@ containers are found by a successor search over their residual capacities (a bit
 bitmaps of the duplicate clusters and, where asked for, of the sources they hold: the search goes
 on to the next residual while all containers of one hold a document that conflicts. Where no
 container that has room is free of conflict, the tightest one without the cluster, else the tightest
-one, is taken all the same: conflicts are avoided, room isn't wasted for them. Documents are packed in shards of a bounded expected size.
+one, is taken all the same: conflicts are avoided, room isn't wasted for them. At the end items of
+equal size are exchanged where that leaves fewer conflicts. Documents are packed in shards of a
+bounded expected size.
 
 Defined cases: texts without tokens are left out; a document of exactly the capacity fills a
 container; configurations without a positive capacity give no rows; ties go by doc_id.
@@ -14,15 +16,18 @@ container; configurations without a positive capacity give no rows; ties go by d
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import stored, table
 from .bpe import counted
 
 SHARD = 20_000  # documents that are packed together, on average
+TRIES = 500  # items of a size that are tried for an exchange
 
 
 class Bins:
@@ -103,6 +108,58 @@ def pack(sizes: np.ndarray, capacity: int, clusters: np.ndarray, sources: np.nda
     return np.array([bins.put(int(n), int(c), int(s)) for n, c, s in zip(sizes, clusters, sources)], dtype=np.int64)
 
 
+def exchanged(sizes: np.ndarray, box: np.ndarray, clusters: np.ndarray, sources: np.ndarray, rounds: int = 3) -> np.ndarray:
+    """Containers after exchanges of items of equal size that lessen conflicts, so room stays as it is.
+
+    Each item that meets an earlier one of its cluster or source goes to the place of the item of its size with which the
+    exchange saves most (a cluster counts as four sources); rounds end when none is made. Of the items of its size, those
+    of another cluster or source are tried, up to TRIES of them: this only bounds how far conflicts are lessened.
+    """
+    box = box.copy()
+    held: tuple[dict, dict] = ({}, {})
+    kinds = ((clusters.tolist(), 4), (sources.tolist(), 1))
+    for (keys, _), n in zip(kinds, held):
+        for b, k in zip(box.tolist(), keys):
+            if k >= 0:
+                n[b, k] = n.get((b, k), 0) + 1
+    same: dict[int, dict[tuple[int, int], list[int]]] = {}
+    kind_of = list(zip(clusters.tolist(), sources.tolist()))
+    for i, n in enumerate(sizes.tolist()):
+        same.setdefault(n, {}).setdefault(kind_of[i], []).append(i)
+
+    def saved(i: int, j: int) -> int:
+        a, b = int(box[i]), int(box[j])
+        out = 0
+        for (keys, weight), n in zip(kinds, held):
+            x, y = keys[i], keys[j]
+            if x != y:
+                for k, here, there in ((x, a, b), (y, b, a)):
+                    if k >= 0:
+                        out += weight * ((n[here, k] > 1) - (n.get((there, k), 0) > 0))
+        return out
+
+    for _ in range(rounds):
+        moved = False
+        for i in range(len(sizes)):
+            if not any(keys[i] >= 0 and n[int(box[i]), keys[i]] > 1 for (keys, _), n in zip(kinds, held)):
+                continue
+            others = (j for kind, items in same[int(sizes[i])].items() if kind != kind_of[i] for j in items)
+            best = max(((saved(i, j), -j) for j in islice(others, TRIES) if box[j] != box[i]), default=(0, 0))
+            if best[0] > 0:
+                j = -best[1]
+                a, b = int(box[i]), int(box[j])
+                for (keys, _), n in zip(kinds, held):
+                    for k, here, there in ((keys[i], a, b), (keys[j], b, a)):
+                        if k >= 0:
+                            n[here, k] -= 1
+                            n[there, k] = n.get((there, k), 0) + 1
+                box[i], box[j] = b, a
+                moved = True
+        if not moved:
+            break
+    return box
+
+
 def _pack_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
     name, shard, capacity = key[0], int(key[1]), int(key[2])
     pdf = pdf.sort_values("doc_id")
@@ -119,6 +176,7 @@ def _pack_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
     _, source, count = np.unique(known, return_inverse=True, return_counts=True)
     source = np.where((count[source] > 1) & (known != -1), source, -1)
     own = pack(rest[small], capacity, cluster[small], source[small])
+    own = exchanged(rest[small], own, cluster[small], source[small])
     row, piece = np.concatenate((row, small)), np.concatenate((piece, full[small]))
     box = np.concatenate((np.arange(len(row) - len(small)), own + len(row) - len(small)))
     start = piece * capacity
@@ -131,7 +189,7 @@ def containers(docs: DataFrame, configs: DataFrame, folder: str | None = None, s
     docs: doc_id, text, source. configs: config_name, capacity_tokens, a fixed table of a few rows.
     apart: also keep documents of one source apart where a container with room allows it; each source of a shard has a bit.
     """
-    cluster = F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " ")))
+    cluster = _cluster()
     source = F.when(F.col("source").isNotNull(), F.xxhash64("source")) if apart else F.lit(None).cast("long")
     rows = docs.select("doc_id", "text", cluster.alias("cluster"), F.coalesce(source, F.lit(-1).cast("long")).alias("source_no"))
     sized = stored(counted(rows, folder).where("n_tokens > 0"))
@@ -144,11 +202,28 @@ def containers(docs: DataFrame, configs: DataFrame, folder: str | None = None, s
     return items.groupBy("config_name", "shard", "capacity").applyInPandas(_pack_shard, schema)
 
 
-def fill(packed: DataFrame, configs: DataFrame) -> DataFrame:
-    """Per configuration: containers, tokens, least possible number of containers, share of room used."""
+def _cluster() -> Column:
+    """Documents are duplicates if their texts agree but for white space and letter case."""
+    return F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " ")))
+
+
+def fill(packed: DataFrame, configs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Per configuration: containers, tokens, least possible number of containers, share of room used; documents that share a
+    container with an earlier one of their source (same_source) or duplicate cluster (same_cluster), and the least such
+    numbers that any packing into so many containers has (a source of more documents than containers)."""
+    packed = stored(packed)
     per = packed.groupBy("config_name").agg(F.countDistinct("container_id").alias("n_containers"), F.sum(F.col("end_token") - F.col("start_token")).alias("n_tokens"))
-    out = per.join(configs.select("config_name", "capacity_tokens"), "config_name")
-    return out.select("config_name", "n_containers", "n_tokens", F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"), F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 6).alias("fill"))
+    known = docs.select("doc_id", F.col("source").alias("s"), _cluster().alias("c"))
+    held = packed.select("config_name", "container_id", "doc_id").distinct().join(known, "doc_id")
+    rows = held.select("config_name", "container_id", F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.xxhash64("s").alias("k"), F.col("s").isNull().alias("none")), F.struct(F.lit("c").alias("kind"), F.col("c").alias("k"), F.lit(False).alias("none")))).alias("x"))
+    rows = rows.select("config_name", "container_id", "x.*").where("not none")
+    shared = rows.groupBy("config_name", "kind", "k", "container_id").agg(F.count("*").alias("n")).groupBy("config_name", "kind", "k").agg(F.sum("n").alias("total"), F.sum(F.col("n") - 1).alias("again"))
+    shared = shared.join(per.select("config_name", "n_containers"), "config_name").groupBy("config_name").agg(
+        *(F.coalesce(F.sum(F.when(F.col("kind") == k, c)), F.lit(0)).alias(n) for k, n, c in (("s", "same_source", F.col("again")), ("s", "least_same_source", F.greatest(F.lit(0), F.col("total") - F.col("n_containers"))), ("c", "same_cluster", F.col("again")), ("c", "least_same_cluster", F.greatest(F.lit(0), F.col("total") - F.col("n_containers")))))
+    )
+    out = per.join(configs.select("config_name", "capacity_tokens"), "config_name").join(shared, "config_name", "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select("config_name", "n_containers", "n_tokens", F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"), F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 6).alias("fill"), count("same_source"), count("least_same_source"), count("same_cluster"), count("least_same_cluster"))
 
 
 def packed_tables(spark, sf_dir: str, folder: str | None = None) -> DataFrame:

@@ -91,7 +91,7 @@ def p7_containers(spark, d):
 
 
 def p7_fill(spark, d):
-    return packing.fill(packing.packed_tables(spark, d), table(spark, d, "pack_configs"))
+    return packing.fill(packing.packed_tables(spark, d), table(spark, d, "pack_configs"), table(spark, d, "documents"))
 
 
 def p8_found(spark, d):

@@ -324,6 +324,18 @@ def test_packing_fills_and_separates():
     assert hot.max() + 1 <= np.ceil(sizes.sum() / 512) * 1.02 + 1
 
 
+def test_exchanges_keep_room_and_lessen_conflicts():
+    rng = np.random.default_rng(5)
+    sizes = np.sort(rng.integers(1, 40, 2000))[::-1]
+    clusters, sources = np.where(rng.random(2000) < 0.05, rng.integers(0, 20, 2000), -1), rng.integers(-1, 30, 2000)
+    box = rng.permutation(np.repeat(np.arange(400), 5))
+    again = lambda box, keys: sum(len(g) - len(set(g)) for g in (keys[(box == b) & (keys >= 0)].tolist() for b in range(400)))
+    new = packing.exchanged(sizes, box, clusters, sources)
+    assert (np.bincount(new, weights=sizes) == np.bincount(box, weights=sizes)).all()
+    assert again(new, clusters) == 0 and again(new, sources) < 0.1 * again(box, sources)
+    assert packing.exchanged(sizes[:0], box[:0], clusters[:0], sources[:0]).tolist() == []
+
+
 @needs_vocabulary
 def test_containers_hold_every_token_once(spark):
     df = queries.p7_containers(spark, SF).toPandas()
