@@ -32,3 +32,20 @@ def expanded(df: DataFrame, keep: list[str], variants: list[tuple[str, Column, C
 def labels(pairs: list[tuple[str, Column]]) -> Column:
     """All labels whose condition holds."""
     return F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in pairs)), lambda x: x.isNotNull())
+
+
+def prompt(category: Column, task: Column, templates: dict[str, str], otherwise: str) -> Column:
+    """The template of a category with ``{task}`` filled in."""
+    chosen = F.coalesce(*(F.when(category == k, F.lit(t)) for k, t in templates.items()), F.lit(otherwise))
+    return F.replace(chosen, F.lit("{task}"), task)
+
+
+def completions(df: DataFrame, key: str, source: str, least: int = 40) -> DataFrame:
+    """key, place, prompt, answer: a source of `least` characters or more cut at one to three places (one for each 50
+    characters) between 30 and 70 % of it, picked by hash of place and source."""
+    n = F.length(source)
+    rows = df.where(n >= least).select(key, F.col(source).alias("_s"), F.explode(F.sequence(F.lit(0), F.least(F.lit(3), F.greatest(F.lit(1), F.floor(n / 50).cast("int"))) - 1)).alias("place"))
+    lo, hi = F.floor(F.length("_s") * 3 / 10), F.floor(F.length("_s") * 7 / 10)
+    pick = F.conv(F.substring(F.sha2(F.concat(F.col("place").cast("string"), F.lit(":"), "_s"), 256), 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("_c", (lo + pick % (hi - lo)).cast("int"))
+    return rows.select(key, F.col("place").cast("long").alias("place"), F.substring("_s", F.lit(1), F.col("_c")).alias("prompt"), F.substring("_s", F.col("_c") + 1, F.length("_s")).alias("answer"))

@@ -126,3 +126,74 @@ def quota_topup(pairs: DataFrame, chosen: DataFrame, floor: int) -> DataFrame:
         return pd.DataFrame({"key": list(added), "for_item": list(added.values())})
 
     return near.select("key", "item", "h", "c").groupBy().applyInPandas(serve, f"key {pairs.schema['key'].dataType.simpleString()}, for_item string")
+
+
+def shared_targets(counts: DataFrame, weights: dict[str, float], total: int, caps: dict[str, float], cap: float, takers: list[str]) -> DataFrame:
+    """source, n_rows, target of the sources that have rows (counts: source, n_rows; a small table of those weighted).
+
+    The weight of sources without rows is shared evenly; a target is at most its cap (`cap` where none is named) times the
+    rows; what the caps leave over is shared among the takers with rows to spare, up to their caps.
+    """
+    one = Window.partitionBy(F.lit(0))
+    w = F.coalesce(*(F.when(F.col("source") == k, F.lit(v)) for k, v in weights.items()), F.lit(0.0))
+    most = F.floor(F.col("n_rows") * F.coalesce(*(F.when(F.col("source") == k, F.lit(v)) for k, v in caps.items()), F.lit(cap)))
+    live = counts.where("n_rows > 0").withColumn("w", w).withColumn("m", most)
+    live = live.withColumn("aw", F.col("w") + (1 - F.sum("w").over(one)) / F.count("*").over(one))
+    live = live.withColumn("want", F.floor(total * F.col("aw") / F.sum("aw").over(one))).withColumn("t", F.least("want", "m"))
+    live = live.withColumn("lack", F.sum(F.col("want") - F.col("t")).over(one)).withColumn("takes", (F.col("n_rows") > F.col("t")) & F.col("source").isin(*takers))
+    more = F.least(F.floor(F.col("lack") / F.count_if("takes").over(one)), F.col("m") - F.col("t"))
+    return live.select("source", "n_rows", (F.col("t") + F.when(F.col("takes") & (F.col("lack") > 0), more).otherwise(0)).cast("long").alias("target"))
+
+
+def balanced(df: DataFrame, by: str, grade: str, key: str, quotas: dict[int, int], seed: int) -> DataFrame:
+    """Rows of each group: so many of each grade in seeded hash order (chosen), topped up from its rest where a grade is short.
+
+    Ranks are taken of the first rows of each salt of a group, so a hot one is never ordered whole.
+    """
+    from .ranks import first_n, seeded
+
+    total = sum(quotas.values())
+    rows = df.withColumn("_h", seeded(F.col(key), seed))
+    few = first_n(rows, [by, grade], [F.col("_h"), F.col(key)], total)
+    w = Window.partitionBy(by, grade).orderBy("_h", key)
+    quota = F.coalesce(*(F.when(F.col(grade) == g, F.lit(n)) for g, n in quotas.items()), F.lit(0))
+    few = few.withColumn("chosen", F.row_number().over(w) <= quota)
+    return first_n(few, [by], [F.desc("chosen"), F.col("_h"), F.col(key)], total).drop("_h")
+
+
+def resampled(df: DataFrame, key: str, seed: int, repair_cap: float, application_cap: float, simple_floor: float) -> DataFrame:
+    """key and origin (sample or pool). df: key, tier, repair, bulk, sampled (else in the pool).
+
+    Of the sample, repair rows up to a share of it stay; then applications up to a share of what is left, those that aren't
+    bulk first; simple rows of the pool, no repair ones, are added up to a share of the whole sample. All in seeded hash
+    order; ranks are taken in hash buckets.
+    """
+    from .ranks import bucket_rank, hash_bucket, seeded
+
+    rows = df.withColumn("_h", seeded(F.col(key), seed))
+    rank = lambda d, by, name, first=None: bucket_rank(d, F.concat(first, hash_bucket(F.col("_h"))) if first is not None else hash_bucket(F.col("_h")), [F.col("_h"), F.col(key)], by, name)
+    size = lambda d, name: F.broadcast(d.agg(F.count("*").alias(name)))
+    sample = rows.where("sampled")
+    total = size(sample, "_total")
+    c1 = stored(rank(sample, ["repair"], "_k").join(total).where(~F.col("repair") | (F.col("_k") <= F.floor(F.col("_total") * repair_cap))).drop("_k", "_total"))
+    c3 = stored(rank(c1, ["tier"], "_k", F.when(F.col("bulk"), "1").otherwise("0")).join(size(c1, "_kept")).where((F.col("tier") != "application") | (F.col("_k") <= F.floor(F.col("_kept") * application_cap))).drop("_k", "_kept"))
+    need = total.join(F.broadcast(c3.agg(F.count_if(F.col("tier") == "simple").alias("_s")))).select(F.greatest(F.lit(0), F.floor(F.col("_total") * simple_floor) - F.col("_s")).alias("_need"))
+    pool = rank(rows.where(~F.col("sampled") & ~F.col("repair") & (F.col("tier") == "simple")), None, "_k").join(F.broadcast(need)).where(F.col("_k") <= F.col("_need"))
+    return c3.select(key, F.lit("sample").alias("origin")).unionByName(pool.select(key, F.lit("pool").alias("origin")))
+
+
+def cycled(spark, pool: DataFrame, key: str, count: int) -> DataFrame:
+    """i, key, variant of `count` rows: the keys of a pool (a small table), in order, over and over; variant is the turn."""
+    keys = pool.agg(F.array_sort(F.collect_list(key)).alias("_k")).where("size(_k) > 0")
+    rows = spark.range(count).withColumnRenamed("id", "i").join(F.broadcast(keys))
+    return rows.select("i", F.get("_k", (F.col("i") % F.size("_k")).cast("int")).alias(key), F.floor(F.col("i") / F.size("_k")).alias("variant"))
+
+
+def rebalanced(shares: DataFrame, key: str, failing) -> DataFrame:
+    """key, share: equal shares of the rows of a small table; failing ones are halved, and what that frees goes to the others
+    in proportion."""
+    one = Window.partitionBy(F.lit(0))
+    s = shares.withColumn("_f", failing).withColumn("_s", 1.0 / F.count("*").over(one))
+    s = s.withColumn("_o", F.when(F.col("_f"), F.col("_s") / 2).otherwise(F.col("_s")))
+    freed = (1 - F.sum("_o").over(one)) * F.col("_o") / F.nullif(F.sum(F.when(~F.col("_f"), F.col("_o"))).over(one), F.lit(0.0))
+    return s.select(key, F.round(F.col("_o") + F.when(~F.col("_f"), F.coalesce(freed, F.lit(0.0))).otherwise(0.0), 6).alias("share"))

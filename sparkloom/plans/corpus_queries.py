@@ -91,13 +91,6 @@ def ratio_split(spark, d):
     return P.ratio_split(c, ["bucket"], "rec_id", 0.8, 9).select("rec_id", "bucket", "part")
 
 
-@query()
-def tfidf_eval_sim(spark, d):
-    """Of every program (J12), the most similar one of all validation and test records; no SQL, see tests/test_core.py."""
-    p = table(spark, d, "programs")
-    return J.tfidf_best(p.select(F.col("rec_id").alias("query_id"), F.col("tk_source").alias("text")), p.where(F.col("split").isin("validation", "test")).select(F.col("rec_id").alias("item_id"), F.col("tk_source").alias("text")))
-
-
 @query("""SELECT rec_id, CASE WHEN p.source_name IS NULL THEN 'no_origin' WHEN s.source_name IS NULL THEN 'unknown_origin' WHEN s.usage = 'evaluation' THEN 'evaluation_source' WHEN s.usage = 'split' AND list_sum(list_transform(string_split(sha256(p.source_name || coalesce(task_id, '')), ''), lambda x: instr('0123456789abcdef', x) - 1)) % 5 = 0 THEN 'held_out' END AS reason FROM programs p LEFT JOIN task_sources s USING (source_name)""")
 def firewall(spark, d):
     from ..operators.gates import first_reason

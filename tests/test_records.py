@@ -119,7 +119,7 @@ def test_text_helpers(spark):
     assert col(spark, [1.5, float("nan"), float("inf"), None], X.finite, "double") == [1.5, None, None, None]
     assert col(spark, ["MIT License ..", "GNU General Public License", "BSD 3-Clause", "", None], X.license_class) == ["MIT", "GPL", "BSD-3-Clause", "unknown", "unknown"]
     assert col(spark, ["[ Str ]", "$I64"], X.plain_type) == ["@str", "i64"]
-    assert col(spark, ["M=ab;F=fn1(x:i64){let total=1}", "M=v1;F=p2(n:i64){}", ""], X.coherence) == [0.5, 0.0, 0.0]
+    assert col(spark, ["M=bank;F=fn1(x:i64){let total=1}", "M=v1;F=p2(n:i64){}", ""], X.coherence) == [0.5, 0.0, 0.0]
     df = spark.createDataFrame([(["1.0", " a", "x"], ["1.0000000001", "a"]), (["1"], ["1", "2"]), (["b"], ["c"]), ([], [])], "g array<string>, w array<string>")
     assert [r[0] for r in df.select(X.lines_match(F.col("g"), F.col("w"))).collect()] == [True, False, False, True]
     df = spark.createDataFrame([(["a", "a", "a", "a", "b", None],), (None,), ([],)], "c array<string>")
