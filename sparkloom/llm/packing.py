@@ -111,11 +111,10 @@ def pack(sizes: np.ndarray, capacity: int, clusters: np.ndarray, sources: np.nda
 def exchanged(sizes: np.ndarray, box: np.ndarray, clusters: np.ndarray, sources: np.ndarray, rounds: int = 3) -> np.ndarray:
     """Containers after exchanges of items of equal size that lessen conflicts, so room stays as it is.
 
-    Each item that meets an earlier one of its cluster or source goes to the place of the item of its size with which the
-    exchange saves most (a cluster counts as four sources); rounds end when none is made. Of the items of its size, those
+    Each item that shares a container with its cluster or source goes to the place of the first item of its size where it
+    is free of both and the exchange saves conflicts (a cluster counts as four sources); rounds end when none is made. Of the items of its size, those
     of another cluster or source are tried, up to TRIES of them: this only bounds how far conflicts are lessened.
     """
-    box = box.copy()
     held: tuple[dict, dict] = ({}, {})
     kinds = ((clusters.tolist(), 4), (sources.tolist(), 1))
     for (keys, _), n in zip(kinds, held):
@@ -128,7 +127,7 @@ def exchanged(sizes: np.ndarray, box: np.ndarray, clusters: np.ndarray, sources:
         same.setdefault(n, {}).setdefault(kind_of[i], []).append(i)
 
     def saved(i: int, j: int) -> int:
-        a, b = int(box[i]), int(box[j])
+        a, b = at[i], at[j]
         out = 0
         for (keys, weight), n in zip(kinds, held):
             x, y = keys[i], keys[j]
@@ -138,26 +137,29 @@ def exchanged(sizes: np.ndarray, box: np.ndarray, clusters: np.ndarray, sources:
                         out += weight * ((n[here, k] > 1) - (n.get((there, k), 0) > 0))
         return out
 
+    at = box.tolist()
     for _ in range(rounds):
         moved = False
         for i in range(len(sizes)):
-            if not any(keys[i] >= 0 and n[int(box[i]), keys[i]] > 1 for (keys, _), n in zip(kinds, held)):
+            a = at[i]
+            again = [(keys[i], n) for (keys, _), n in zip(kinds, held) if keys[i] >= 0 and n[a, keys[i]] > 1]
+            if not again:
                 continue
             others = (j for kind, items in same[int(sizes[i])].items() if kind != kind_of[i] for j in items)
-            best = max(((saved(i, j), -j) for j in islice(others, TRIES) if box[j] != box[i]), default=(0, 0))
-            if best[0] > 0:
-                j = -best[1]
-                a, b = int(box[i]), int(box[j])
-                for (keys, _), n in zip(kinds, held):
-                    for k, here, there in ((keys[i], a, b), (keys[j], b, a)):
-                        if k >= 0:
-                            n[here, k] -= 1
-                            n[there, k] = n.get((there, k), 0) + 1
-                box[i], box[j] = b, a
-                moved = True
+            for j in islice(others, TRIES):
+                b = at[j]
+                if b != a and not any(n.get((b, k), 0) for k, n in again) and saved(i, j) > 0:
+                    for (keys, _), n in zip(kinds, held):
+                        for k, here, there in ((keys[i], a, b), (keys[j], b, a)):
+                            if k >= 0:
+                                n[here, k] -= 1
+                                n[there, k] = n.get((there, k), 0) + 1
+                    at[i], at[j] = b, a
+                    moved = True
+                    break
         if not moved:
             break
-    return box
+    return np.array(at, dtype=np.int64)
 
 
 def _pack_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
