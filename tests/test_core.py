@@ -96,6 +96,11 @@ def test_near_dedup_keeps_what_a_greedy_loop_keeps(spark):
     assert {r["k"]: r["dropped_for"] for r in dedup.near_dedup(df, "k", "t", 0.7).collect()} == dropped
     pairs = {(a, b) for a, b in itertools.combinations(sorted(set(texts.values())), 2) if len(grams(norm(rows[a][1])) & grams(norm(rows[b][1]))) >= 0.7 * len(grams(norm(rows[a][1])) | grams(norm(rows[b][1]))) - 1e-9}
     assert set(map(tuple, dedup.ngram_pairs(df, "k", "t", 0.7).collect())) == pairs
+    whole, dedup.CELL = dedup.CELL, 2  # grams divided into blocks
+    try:
+        assert set(map(tuple, dedup.ngram_pairs(df, "k", "t", 0.7).collect())) == pairs
+    finally:
+        dedup.CELL = whole
 
 
 def test_disjointness(spark):

@@ -32,10 +32,7 @@ def duck():
     return con
 
 
-SLOW = {"near_dedup_greedy", "ngram_pairs"}  # covered by tests of their own
-
-
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, duck, name):
     df = catalogue.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
