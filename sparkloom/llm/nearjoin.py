@@ -1,4 +1,4 @@
-"""Exact Jaccard joins of programs over runs of three tokens (problems 1 and 5).
+"""Exact Jaccard joins of programs over runs of three tokens (problem 5).
 
 Documents with the same set of runs form a class, named by a hash of the set; the join works on
 classes, so copies cost nothing. Distances are 1 - similarity, a metric; near is at most EPS.
@@ -7,15 +7,22 @@ Regions. Pivot documents, the densest of a bounded sample, create Voronoi region
 within RADIUS of its nearest pivot is at home in that pivot's region and replicated to region k if
 ``d(k) <= d(nearest) + 2 * EPS`` and ``d(k) <= RADIUS + EPS``; all others are at home in the outer
 region, to which documents with ``d(nearest) > RADIUS - EPS`` are replicated. By the triangle
-inequality, two near documents share a region. Most documents are far from every pivot, whatever
-the pivots, so a region is joined recursively by finer ones: those of singleton sets {s}. Of these, a
-document is nearest to its own runs, ties in the order rarest first, and its window are its first
-``n - ceil(t*n) + 1`` of them: near documents share the cell of their first common run. A cell that
-a count sketch calls crowded is divided again by the next pivot of each window (one place longer,
-as two runs must be common). What meets and passes the size and place bounds is compared exactly.
+inequality, two near documents share a region.
+
+No distance exceeds 1, so a document that is ``1 - 2 * EPS`` = 0.4 or more from its nearest pivot has
+every region in its window: document pivots divide only families around them, and where no family
+stands out in the sample, there is no pivot and all documents are in the outer region. Regions are
+therefore joined recursively by finer ones, those of singleton sets {s}, which are the pivots that do
+the work. Of these, a document is nearest to its own runs, ties in the order rarest first, and its
+window are its first ``n - ceil(t*n) + 1`` of them: near documents share the cell of their first common
+run. A cell that a count sketch calls crowded is divided again by the next pivot of each window (one
+place longer, as two runs must be common). Cells that are still larger than CELL, told by a second
+sketch, are cut into blocks, each pair of which meets in a group of its own, so no task holds one.
+What meets and passes the size and place bounds is compared exactly.
 
 Defined cases: null texts and texts with fewer than `min_tokens` tokens take no part; equal sources
-are near; empty tables give no rows; other columns of the input are not read.
+are near; empty tables give no rows; other columns of the input are not read; thresholds up to 2/3
+raise.
 """
 
 from __future__ import annotations
@@ -29,8 +36,9 @@ from pyspark.sql import functions as F
 
 from .arrays import BASE, U64, Rolling, chunks, mix, n_parts, narrowed, stored
 
-WIDTH = 1 << 20  # counters of the sketch: 4 MB, whatever the input
+WIDTH, SLICES = 1 << 20, 16  # counters of a sketch: 4 MB, whatever the input
 CROWDED = 1000  # documents above the sketch's mean, from which a cell is divided
+CELL = 50_000  # entries of a cell above the second sketch's mean, from which it is cut into blocks of so many
 WORD, SIGN = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 for _c in b"abcdefghijklmnopqrstuvwxyz0123456789_":
@@ -96,24 +104,29 @@ def _bucket(run: np.ndarray) -> np.ndarray:
 
 def sketch(docs: DataFrame, min_tokens: int) -> np.ndarray:
     """Counts of runs by WIDTH hash buckets. Every task adds up its own, slices are added by Spark."""
-    parts = 16
-
     def count(batches):
         total = np.zeros(WIDTH, dtype=np.int64)
         for pdf in batches:
             for _, key, _, _ in _sets(pdf, min_tokens):
                 total += np.bincount(_bucket(key & RUN), minlength=WIDTH)
         if total.any():
-            small = np.minimum(total, 65535).astype(np.uint16).reshape(parts, -1)
-            yield pd.DataFrame({"slice": np.arange(parts), "n": [x.tobytes() for x in small]})
+            yield _slices(total)
+
+    return _added(docs.select("text").mapInPandas(count, "slice long, n binary"))
+
+
+def _slices(total: np.ndarray) -> pd.DataFrame:
+    small = np.minimum(total, 65535).astype(np.uint16).reshape(SLICES, -1)
+    return pd.DataFrame({"slice": np.arange(SLICES), "n": [x.tobytes() for x in small]})
 
+
+def _added(slices: DataFrame) -> np.ndarray:
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x, np.uint16).astype(np.int64) for x in pdf["n"])
         return pd.DataFrame({"slice": pdf["slice"][:1], "n": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
 
-    rows = docs.select("text").mapInPandas(count, "slice long, n binary").groupBy("slice").applyInPandas(add, "slice long, n binary").collect()
-    out = np.zeros((parts, WIDTH // parts), dtype=np.int32)
-    for r in rows:
+    out = np.zeros((SLICES, WIDTH // SLICES), dtype=np.int32)
+    for r in slices.groupBy("slice").applyInPandas(add, "slice long, n binary").collect():
         out[r["slice"]] = np.frombuffer(r["n"], np.int32)
     return out.reshape(-1)
 
@@ -221,10 +234,23 @@ _DOC = np.dtype([("cls", "<i8"), ("n", "<u4"), ("side", "<u1")])
 FLUSH = 1_500_000
 
 
-def windows(docs: DataFrame, count: np.ndarray, pivots: list[np.ndarray], threshold: float, min_tokens: int, parts: int) -> DataFrame:
-    """Binary pieces of (cell, class, place) by partition of the cell. docs: text, side (1, 2 or 3)."""
+def _blocks(cell: np.ndarray, cls: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries by the pairs of blocks of their cells: place in the arrays, and cell. A class is in one block of a cell."""
+    k = times[_bucket(mix(cell))]
+    if len(k) == 0 or k.max() <= 1:
+        return np.arange(len(cell)), cell
+    at = np.repeat(np.arange(len(cell)), k)
+    own = (mix(cls.view(U64) + U64(5)) % k.astype(U64)).astype(np.int64)[at]
+    other = np.arange(len(at)) - np.repeat(np.cumsum(k) - k, k)
+    pair = np.minimum(own, other) * 1_000_003 + np.maximum(own, other)
+    return at, np.where(k[at] > 1, mix(cell[at] + pair.astype(U64) * U64(BASE)), cell[at])
+
+
+def windows(docs: DataFrame, count: np.ndarray, cells: np.ndarray, pivots: list[np.ndarray], threshold: float, min_tokens: int, parts: int) -> DataFrame:
+    """Binary pieces of (cell, class, place) by partition of the cell. docs: text, side (1, 2 or 3); cells: the sketch of members()."""
     level, crowded = _rank(count)
-    shared = docs.sparkSession.sparkContext.broadcast((level, pivots))
+    times = np.maximum(1, np.ceil((cells - cells.mean()) / CELL)).astype(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((level, pivots, times.astype(np.uint16) if times.max() < 65536 else times))
 
     most = max(FLUSH, min(4 * parts, 4 * FLUSH))  # larger pieces where there are many partitions
 
@@ -245,7 +271,7 @@ def windows(docs: DataFrame, count: np.ndarray, pivots: list[np.ndarray], thresh
         return pd.DataFrame(rows, columns=["part", "docs", "entries"])
 
     def run(batches):
-        level, pivots = shared.value
+        level, pivots, times = shared.value
         held, known, size = [], {}, 0
         for pdf in batches:
             for rows, key, n, cls in _sets(pdf, min_tokens):
@@ -263,6 +289,8 @@ def windows(docs: DataFrame, count: np.ndarray, pivots: list[np.ndarray], thresh
                 keep = new[(key >> U64(48)).astype(np.int64)]
                 n = np.where(new, n, 0)
                 cell, row, place = _entries(key[keep], n, level, crowded, threshold)
+                at, cell = _blocks(cell, cls[row], times.astype(np.int64))
+                row, place = row[at], place[at]
                 region = _regions(key[keep], n, pivots, 1 - threshold)
                 for r in np.flatnonzero(region.any(axis=0)):
                     own = region[row, r]
@@ -328,15 +356,27 @@ def _meet(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"a": cls[pairs[:, 0]], "b": cls[pairs[:, 1]]})
 
 
-def members(docs: DataFrame, min_tokens: int) -> DataFrame:
-    """id, class, number of runs and side of every document that takes part."""
+def members(docs: DataFrame, count: np.ndarray, threshold: float, min_tokens: int) -> tuple[DataFrame, np.ndarray]:
+    """id, class, number of runs and side of every document that takes part (stored), and a sketch of the entries of cells."""
+    level, crowded = _rank(count)
+    shared = docs.sparkSession.sparkContext.broadcast(level)
 
     def run(batches):
+        total = np.zeros(WIDTH, dtype=np.int64)
         for pdf in batches:
-            for rows, _, n, cls in _sets(pdf, min_tokens):
-                yield pd.DataFrame({"id": rows["id"].to_numpy(), "cls": cls, "n": n, "side": rows["side"].to_numpy()})[n > 0]
+            for rows, key, n, cls in _sets(pdf, min_tokens):
+                _, first = np.unique(cls, return_index=True)
+                new = np.zeros(len(n), dtype=bool)
+                new[first] = n[first] > 0
+                keep = new[(key >> U64(48)).astype(np.int64)]
+                total += np.bincount(_bucket(mix(_entries(key[keep], np.where(new, n, 0), shared.value, crowded, threshold)[0])), minlength=WIDTH)
+                yield pd.DataFrame({"id": rows["id"].to_numpy(), "cls": cls, "n": n, "side": rows["side"].to_numpy(), "slice": -1, "counts": None})[n > 0]
+        if total.any():
+            s = _slices(total)
+            yield pd.DataFrame({"id": 0, "cls": 0, "n": 0, "side": 0, "slice": s["slice"], "counts": s["n"]})
 
-    return docs.select("id", "text", "side").mapInPandas(run, "id long, cls long, n long, side int")
+    rows = stored(docs.select("id", "text", "side").mapInPandas(run, "id long, cls long, n long, side int, slice long, counts binary"))
+    return rows.where("slice < 0").select("id", "cls", "n", "side"), _added(rows.where("slice >= 0").select("slice", F.col("counts").alias("n")))
 
 
 def compared(batches, min_tokens: int, keep):
@@ -376,8 +416,8 @@ def near_classes(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20)
     parts = n_parts(spark)
     count = sketch(docs, min_tokens)
     parts = max(parts, int(count.sum(dtype=np.int64) * (1 - threshold)) // ENTRIES)
-    who = stored(members(docs, min_tokens))
-    pieces = windows(docs, count, choose_pivots(docs, min_tokens), threshold, min_tokens, parts)
+    who, cells = members(docs, count, threshold, min_tokens)
+    pieces = windows(docs, count, cells, choose_pivots(docs, min_tokens), threshold, min_tokens, parts)
     met = pieces.groupBy("part").applyInPandas(lambda p: _meet(p, threshold), "a long, b long").distinct()
     first = who.groupBy("cls").agg(F.min("id").alias("id"))
     text = docs.select("id", "text")

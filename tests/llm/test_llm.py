@@ -37,9 +37,10 @@ def families(seed=4):
     return list(enumerate([*rows, "", None, "x " * 30, "x " * 31, "x " * 19, "( " * 25, "É;" * 30, "K" * 3]))
 
 
-@pytest.mark.parametrize("crowded", [1000, 0])
-def test_near_pairs_are_those_of_brute_force(spark, monkeypatch, crowded):
+@pytest.mark.parametrize("crowded,cell", [(1000, 50_000), (0, 50_000), (0, 3), (1000, 2)])
+def test_near_pairs_are_those_of_brute_force(spark, monkeypatch, crowded, cell):
     monkeypatch.setattr(nearjoin, "CROWDED", crowded)
+    monkeypatch.setattr(nearjoin, "CELL", cell)
     rows = families()
     df = spark.createDataFrame(rows, "id long, text string")
     assert len(nearjoin.choose_pivots(df, 20)) > 2
