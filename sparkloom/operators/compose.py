@@ -90,3 +90,34 @@ def fan_outs(functions: DataFrame, key: str, numeric: tuple[str, ...] = ("i64",
     r = range_rank(ok, ["t", "ret"], [F.col("h"), F.col(key), F.col("place")], "r")
     nxt = r.select("t", "ret", (F.col("r") - 1).alias("r"), F.col(key).alias("other_id"), F.col("fn").alias("other_fn"))
     return r.join(nxt, ["t", "ret", "r"]).where("other_fn <> fn").select(key, "place", "other_id", "other_fn")
+
+
+_DEFAULTS = {"i64": "0", "u64": "0", "f64": "0.0", "bool": "false", "Str": '""'}
+
+
+def guarded(functions: DataFrame, key: str) -> DataFrame:
+    """key, place, kind, wrapper: a function that guards another one, for each kind that fits.
+
+    empty: the first text or array parameter has no elements; negative: the first i64 is below 0; single: an array of one
+    element whose type is returned; clamp: the first i64 is kept in 0 to 1000; twice: f(f(x)) where types allow. The result
+    of a guard is the default of the type returned; types without one get no guard. Functions that can fail take no part.
+    """
+    head = functions.where(~F.col("fails") & (F.size("params") > 0))
+    names = F.transform("params", lambda t, i: F.concat(F.lit("p"), i.cast("string")))
+    first = lambda test: F.array_position(F.transform("params", lambda t: F.when(test(t), "y").otherwise("n")), "y")
+    default = F.coalesce(*(F.when(F.col("ret") == k, F.lit(v)) for k, v in _DEFAULTS.items()))
+    rows = head.select(key, "place", "fn", "ret", "params", names.alias("n"), default.alias("d"), first(lambda t: (t == "Str") | t.startswith("[")).alias("e"), first(lambda t: t == "i64").alias("i"))
+    at = lambda c: F.get("n", (F.col(c) - 1).cast("int"))
+    params = F.array_join(F.zip_with("n", "params", lambda n, t: F.concat(n, F.lit(":"), t)), ";")
+    call = lambda args: F.concat("fn", F.lit("("), args, F.lit(")"))
+    body = {
+        "empty": F.when((F.col("e") > 0) & F.col("d").isNotNull(), F.concat(F.lit("if("), at("e"), F.lit(".len=0){<"), "d", F.lit("};<"), call(F.array_join("n", ";")))),
+        "negative": F.when((F.col("i") > 0) & F.col("d").isNotNull(), F.concat(F.lit("if("), at("i"), F.lit("<0){<"), "d", F.lit("};<"), call(F.array_join("n", ";")))),
+        "single": F.when((F.size("params") == 1) & (F.get("params", F.lit(0)) == F.concat(F.lit("["), "ret", F.lit("]"))), F.concat(F.lit("if(p0.len=1){<p0[0]};<"), call(F.lit("p0")))),
+        "clamp": F.when(F.col("i") > 0, F.concat(F.lit("let c=mut."), at("i"), F.lit(";if(c<0){c=0};if(c>1000){c=1000};<"), call(F.array_join(F.transform("n", lambda x: F.when(x == at("i"), F.lit("c")).otherwise(x)), ";")))),
+        "twice": F.when((F.size("params") == 1) & (F.get("params", F.lit(0)) == F.col("ret")), F.concat(F.lit("<"), call(call(F.lit("p0"))))),
+    }
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), b.alias("body")) for k, b in body.items()))
+    rows = rows.withColumn("_p", params).withColumn("x", F.explode(kinds)).where("x.body is not null")
+    name = F.concat("x.kind", F.upper(F.substring("fn", 1, 1)), F.expr("substring(fn, 2)"))
+    return rows.select(key, "place", "x.kind", F.concat(F.lit("F="), name, F.lit("("), "_p", F.lit("):"), "ret", F.lit("{"), "x.body", F.lit("};")).alias("wrapper"))

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.functions import rewrite as W
 from sparkloom.functions import text as X
 from sparkloom.operators import aggregates, compose, ranks, splits
 
@@ -135,3 +136,28 @@ def test_representative_rows(spark):
         if r["chosen"]:
             per[r["phase"], r["category"]] = per.get((r["phase"], r["category"]), 0) + 1
     assert set(per.values()) == {10} and len(per) == 6
+
+
+def test_rewrites_leave_literals_alone(spark):
+    src = ['while(i<=3){s=s+"a<=b, c";i++}else{return f(a, b)};', "let mut x = 1;x=mut.2;", "if(a&&b){c}", '"only, text"', "", None]
+    df = spark.createDataFrame(list(enumerate(src)), "i int, s string")
+    got = {r["i"]: (r["text"], r["fixes"]) for r in W.rewritten(df, "s", W.FIXES).collect()}
+    assert got[0] == ('lp(!(i>3)){s=s+"a<=b, c";i=i+1}el{<f(a;b)};', ["loop_word", "else_word", "return_word", "at_most", "increment", "comma"])
+    assert got[1][0] == "let x=mut.1;x=2;" and got[2][0] == "if(a){if(b){c}}" and got[3] == ('"only, text"', []) and got[4] == ("", []) and got[5] == (None, None)
+    d = [r["text"] for r in W.rewritten(spark.createDataFrame([('M=a;F=f(x:[i64]):Point{<x[y[0]]+"M=[1]";z=[1;[2]]};',)], "s string").select(W.default_types(F.col("s")).alias("s")), "s", W.DEFAULT).collect()]
+    assert d == ['m=a;f=f(x:@i64):$point{<x.get(y.get(0))+"M=[1]";z=@(1;@(2))};']
+
+
+def test_layouts_take_each_other_back(spark):
+    src = ['M=a;F=f(x:i64):i64{let a="x;  {y}";if(a=1){<a};<x};', "", "let a=1"]
+    assert col(spark, src, lambda c: X.compact(W.expanded(c))) == src
+    assert col(spark, src[2:], W.expanded) == ["let a = 1"]
+
+
+def test_guards(spark):
+    src = 'F=f(a:Str;n:i64):i64{<n};F=g(x:[i64]):i64{<x[0]};F=h(x:bool):bool{<x};F=k(x:i64):Str!Err{<x};'
+    f = compose.functions_of(spark.createDataFrame([(1, src)], "rec_id long, s string"), "rec_id", "s")
+    got = {(r["place"], r["kind"]): r["wrapper"] for r in compose.guarded(f, "rec_id").collect()}
+    assert set(got) == {(0, "empty"), (0, "negative"), (0, "clamp"), (1, "empty"), (1, "single"), (2, "twice")}
+    assert got[0, "clamp"] == "F=clampF(p0:Str;p1:i64):i64{let c=mut.p1;if(c<0){c=0};if(c>1000){c=1000};<f(p0;c)};"
+    assert got[1, "single"] == "F=singleG(p0:[i64]):i64{if(p0.len=1){<p0[0]};<g(p0)};"
