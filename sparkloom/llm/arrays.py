@@ -168,5 +168,11 @@ def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def grouped(pieces: DataFrame, parts: int):
+    """Rows grouped by part; where parts have grown beyond the session's shuffle partitions, in as many partitions as parts,
+    so a task's share stays as it is when the data grow."""
+    return (pieces.repartition(parts, "part") if parts > n_parts(pieces.sparkSession) else pieces).groupBy("part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

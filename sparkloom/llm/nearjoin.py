@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE, U64, Rolling, chunks, mix, n_parts, narrowed, stored
+from .arrays import BASE, U64, Rolling, chunks, grouped, mix, n_parts, narrowed, stored
 
 WIDTH, SLICES = 1 << 20, 16  # counters of a sketch: 4 MB, whatever the input
 CROWDED = 1000  # documents above the sketch's mean, from which a cell is divided
@@ -418,7 +418,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.7, min_tokens: int = 20)
     parts = max(parts, int(count.sum(dtype=np.int64) * (1 - threshold)) // ENTRIES)
     who, cells = members(docs, count, threshold, min_tokens)
     pieces = windows(docs, count, cells, choose_pivots(docs, min_tokens), threshold, min_tokens, parts)
-    met = pieces.groupBy("part").applyInPandas(lambda p: _meet(p, threshold), "a long, b long").distinct()
+    met = grouped(pieces, parts).applyInPandas(lambda p: _meet(p, threshold), "a long, b long").distinct()
     first = who.groupBy("cls").agg(F.min("id").alias("id"))
     text = docs.select("id", "text")
     met = stored(met.join(first.select(F.col("cls").alias("a"), F.col("id").alias("ida")), "a").join(first.select(F.col("cls").alias("b"), F.col("id").alias("idb")), "b"))

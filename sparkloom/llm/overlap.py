@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import nearjoin as N
-from .arrays import BASE, U64, bit_slice, has_bits, mix, n_parts, slice_bits, stored
+from .arrays import BASE, U64, bit_slice, grouped, has_bits, mix, n_parts, slice_bits, stored
 from .tasks import named_tasks
 
 TRAIN, EVAL = 1, 2
@@ -269,7 +269,7 @@ def contained(docs: DataFrame, containment: float = 0.7, min_tokens: int = 20, s
 
     scan = stored(_run_side(docs, TRAIN, min_tokens, parts, ranks, hits))
     both = _spread(held, parts, shared).unionByName(scan.where("part >= 0"))
-    met = both.groupBy("part").applyInPandas(lambda p: _meet(p, containment, similarity), "a long, b long").distinct()
+    met = grouped(both, parts).applyInPandas(lambda p: _meet(p, containment, similarity), "a long, b long").distinct()
     who = _members(held).unionByName(_members(scan))
     first = who.groupBy("cls").agg(F.min("id").alias("id"))
     met = stored(met.join(first.select(F.col("cls").alias("a"), F.col("id").alias("ida")), "a").join(first.select(F.col("cls").alias("b"), F.col("id").alias("idb")), "b"))

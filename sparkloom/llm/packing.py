@@ -162,7 +162,7 @@ def exchanged(sizes: np.ndarray, box: np.ndarray, clusters: np.ndarray, sources:
     return np.array(at, dtype=np.int64)
 
 
-def _pack_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _pack_shard(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     name, shard, capacity = key[0], int(key[1]), int(key[2])
     pdf = pdf.sort_values("doc_id")
     n, ids = pdf["n_tokens"].to_numpy(), pdf["doc_id"].to_numpy()

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASE2, U64, Rolling, chunks, codes, mix, n_parts, stored
+from .arrays import BASE2, U64, Rolling, chunks, codes, grouped, mix, n_parts, stored
 
 CHUNK = 1_500_000
 FLUSH = 700_000
@@ -287,10 +287,10 @@ def shared_spans(rows: DataFrame, length: int = 100) -> DataFrame:
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(n_parts(rows.sparkSession), chars // GROUP_CHARS)
     sent = rows.mapInPandas(lambda it: _send_stretches(it, length, parts), SENT)
-    judged = stored(sent.groupBy("part").applyInPandas(_judge_stretches, ANSWER))
+    judged = stored(grouped(sent, parts).applyInPandas(_judge_stretches, ANSWER))
     wants = judged.where("want is not null").groupBy("id").agg(F.collect_list("want").alias("wants"))
     windows = rows.join(wants, "id").mapInPandas(lambda it: _send_windows(it, length, parts), SENT)
-    more = windows.groupBy("part").applyInPandas(_judge_windows, ANSWER)
+    more = grouped(windows, parts).applyInPandas(_judge_windows, ANSWER)
     places = judged.where("whole is not null").select("id", "whole").unionByName(more.select("id", "whole"))
     return places.groupBy("id").agg(F.collect_list("whole").alias("places")).mapInPandas(lambda it: _union(it, length), "rec_id long, start_pos long, end_pos long")
 
