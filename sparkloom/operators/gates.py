@@ -57,3 +57,33 @@ def routed(violations: Column, exempt: Column, saving: Column, least_saving: int
         .when(saving >= least_saving, "AGENT")
         .otherwise("LEAVE")
     )
+
+
+def routed_with_reason(df: DataFrame, least_saving: int) -> DataFrame:
+    """Adds bucket, would_be and reason. df: v (violations: code, severity, detail), s (saving), x (exempt), again.
+
+    AUTO if every violation has a fix (detail), EXEMPT if none is left but the record is exempt, AGENT for errors and
+    warnings without a fix or enough saving, else LEAVE; records that are made again are REGEN, would_be tells the rest.
+    """
+    stuck = F.filter("v", lambda d: d["severity"].isin("error", "warning") & d["detail"].isNull())
+    some, saves = F.size("v") > 0, F.coalesce(F.col("s") >= least_saving, F.lit(False))
+    own = F.when(some & F.forall("v", lambda d: d["detail"].isNotNull()), "AUTO").when(~some & F.col("x"), "EXEMPT").when((F.size(stuck) > 0) | saves, "AGENT").otherwise("LEAVE")
+    codes = F.array_join(F.array_sort(F.array_distinct(F.transform(stuck, lambda d: d["code"]))), ",")
+    why = (
+        F.when(F.col("again"), "made again")
+        .when(own == "AUTO", F.concat(F.lit("all "), F.size("v").cast("string"), F.lit(" can be fixed")))
+        .when(own == "EXEMPT", "every hit exempt")
+        .when((own == "AGENT") & (F.size(stuck) > 0), F.concat(F.lit("without a fix: "), codes))
+        .when(own == "AGENT", F.concat(F.lit("saves "), F.col("s").cast("string")))
+        .when(some, "only hints")
+        .otherwise("no hits")
+    )
+    return df.withColumn("bucket", F.when(F.col("again"), "REGEN").otherwise(own)).withColumn("would_be", F.when(F.col("again"), own)).withColumn("reason", why)
+
+
+def refused(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """The rows as they are, unless any of them matches a pattern: then the whole export is refused."""
+    found = df.agg(*(F.count_if(F.coalesce(F.col(text).rlike(p), F.lit(False))).alias(k) for k, p in patterns.items())).first().asDict()
+    if any(found.values()):
+        raise ValueError(f"export refused: {({k: n for k, n in found.items() if n})}")
+    return df

@@ -109,3 +109,22 @@ def markdown(df: DataFrame, title: str, rows: int = 1000) -> str:
         raise ValueError(f"a report of more than {rows} rows")
     head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
     return f"# {title}\n\n{head}\n" + "".join("| " + " | ".join("" if x is None else str(x) for x in r) + " |\n" for r in got)
+
+
+def frozen(df: DataFrame, path: str, key: str) -> str:
+    """Writes a snapshot that is never written again and returns the hash of its keys (operators.aggregates.bucket_hash),
+    which stands beside it in a file of its own."""
+    from ..operators.aggregates import bucket_hash
+
+    df.write.mode("errorifexists").parquet(path)
+    one = bucket_hash(df.sparkSession.read.parquet(path).withColumn("_g", F.lit(0)), ["_g"], key)
+    row = one.select("n_ids", "ids_hash").first()
+    digest = row["ids_hash"] if row else ""
+    one.select("n_ids", "ids_hash").write.mode("errorifexists").json(path.rstrip("/") + ".hash")
+    return digest
+
+
+def phased(df: DataFrame, path: str, by: str) -> None:
+    """JSON lines by phase, and a small table of statistics beside them."""
+    jsonl(df, path, [by])
+    df.groupBy(by).agg(F.count("*").alias("n_rows")).write.mode("overwrite").json(path.rstrip("/") + ".stats")

@@ -161,3 +161,35 @@ def test_guards(spark):
     assert set(got) == {(0, "empty"), (0, "negative"), (0, "clamp"), (1, "empty"), (1, "single"), (2, "twice")}
     assert got[0, "clamp"] == "F=clampF(p0:Str;p1:i64):i64{let c=mut.p1;if(c<0){c=0};if(c>1000){c=1000};<f(p0;c)};"
     assert got[1, "single"] == "F=singleG(p0:[i64]):i64{if(p0.len=1){<p0[0]};<g(p0)};"
+
+
+def test_python_functions_and_grammar(spark):
+    from sparkloom.operators import harvest
+
+    src = ["def f(a: int, b) -> bool:\n    return a > b\n\nx = 1\ndef g():\n    print(1)\n", "def broken(:", None, "", "class A:\n    def m(self): pass"]
+    got = harvest.python_functions(spark.createDataFrame(list(enumerate(src)), "rec_id long, s string"), "rec_id", "s").orderBy("place").collect()
+    assert [(r["rec_id"], r["name"], r["params"], r["returns"], r["n_lines"], r["pure"]) for r in got] == [(0, "f", "a:int,b", "bool", 2, True), (0, "g", "", None, 2, False)]
+    a = {r["i"]: r["source"] for r in harvest.grammar_programs(spark, 60, 3).collect()}
+    assert a == {i: harvest.Grammar(f"3:{i}").program(f"fuzz{i}") for i in range(60)} and len(set(a.values())) == 60
+    for s in a.values():
+        depth = 0
+        for c in s:
+            depth += (c == "{") - (c == "}")
+            assert depth >= 0
+        assert depth == 0 and s.count("(") == s.count(")")
+
+
+def test_exports_and_snapshots(spark, tmp_path):
+    from sparkloom.operators import gates
+    from sparkloom.sources import sinks
+
+    df = spark.createDataFrame([("a", "x", "plain"), ("b", "y", None)], "id string, phase string, t string")
+    assert gates.refused(df, "t", {"claim": "faster"}).count() == 2
+    with pytest.raises(ValueError, match="claim"):
+        gates.refused(df, "t", {"claim": "plain", "other": "z"})
+    digest = sinks.frozen(df, str(tmp_path / "f"), "id")
+    assert digest == aggregates.bucket_hash(df.withColumn("g", F.lit(1)), ["g"], "id").first()["ids_hash"]
+    with pytest.raises(Exception):
+        sinks.frozen(df, str(tmp_path / "f"), "id")
+    sinks.phased(df, str(tmp_path / "p"), "phase")
+    assert {r["phase"]: r["n_rows"] for r in spark.read.json(str(tmp_path / "p.stats")).collect()} == {"x": 1, "y": 1}
