@@ -218,3 +218,19 @@ def lines_match(got: Column, want: Column, tolerance: float = 1e-6) -> Column:
 
     every = F.forall(F.sequence(F.lit(0), F.greatest(F.size(want) - 1, F.lit(0))), same)
     return (F.size(got) >= F.size(want)) & ((F.size(want) == 0) | every)
+
+
+def difference(want: Column, got: Column) -> Column:
+    """How an output differs from the one expected, by its lines: none, wrong_line_count, off_by_one or returns_zero (of the
+    first line where whole numbers differ so, all lines up to it being numbers), else algorithm_bug; null if either is null."""
+    lines = lambda t: F.split(F.trim(F.regexp_replace(t, r"\r\n?", "\n")), "\n", -1)
+    number = lambda x: F.when(F.trim(x).rlike(r"^-?[0-9]{1,18}$"), F.trim(x).cast("long"))
+
+    def kind(a: Column, b: Column) -> Column:
+        a, b = number(a), number(b)
+        return F.when(a.isNull() | b.isNull(), "text").when(F.abs(a - b) == 1, "off_by_one").when((b == 0) & (a != 0), "returns_zero").otherwise("")
+
+    kinds = F.zip_with(lines(want), lines(got), kind)
+    first = F.get(F.filter(kinds, lambda x: x != ""), F.lit(0))
+    bug = F.when(first.isin("off_by_one", "returns_zero"), first).otherwise("algorithm_bug")
+    return F.when(want.isNull() | got.isNull(), F.lit(None)).when(canonical_output(want) == canonical_output(got), "none").when(F.size(lines(want)) != F.size(lines(got)), "wrong_line_count").otherwise(bug)

@@ -20,6 +20,15 @@ def dimension(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left")
     return fact.join(F.broadcast(dim) if small else dim, on, how)
 
 
+def grid(left: DataFrame, right: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """Every row of one dimension with every row of another: a report's frame, never a join of facts. Raises if either has
+    more than `most` rows."""
+    for side in (left, right):
+        if side.limit(most + 1).count() > most:
+            raise ValueError(f"a grid is for dimensions of up to {most} rows")
+    return left.crossJoin(F.broadcast(right))
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_hash: str, right_hash: str) -> DataFrame:
     """key and bucket of a full outer match: ok, stale (hashes differ), unhashed (right has none), orphan (left only), missing (right only)."""
     a = left.select(F.col(key), F.col(left_hash).alias("_a"), F.lit(True).alias("_l"))

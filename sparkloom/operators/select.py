@@ -197,3 +197,17 @@ def rebalanced(shares: DataFrame, key: str, failing) -> DataFrame:
     s = s.withColumn("_o", F.when(F.col("_f"), F.col("_s") / 2).otherwise(F.col("_s")))
     freed = (1 - F.sum("_o").over(one)) * F.col("_o") / F.nullif(F.sum(F.when(~F.col("_f"), F.col("_o"))).over(one), F.lit(0.0))
     return s.select(key, F.round(F.col("_o") + F.when(~F.col("_f"), F.coalesce(freed, F.lit(0.0))).otherwise(0.0), 6).alias("share"))
+
+
+GOLDEN = 618_033_989  # of 10**9: multiples of the golden ratio fill the unit line evenly
+
+
+def assigned(df: DataFrame, rank: str, shares: dict[str, int], name: str = "assigned") -> DataFrame:
+    """Adds who gets each row: rows of rank 1, 2, .. fall on the unit line at multiples of the golden ratio, which the shares
+    (in millionths) divide, so that the counts of any run of rows stay close to the shares, without a state that passes from row to row."""
+    place = (F.col(rank) * GOLDEN) % 1_000_000_000
+    out, upto = None, 0
+    for key, share in shares.items():
+        upto += share * 1000
+        out = (F.when if out is None else out.when)(place < upto, key)
+    return df.withColumn(name, out.otherwise(key))

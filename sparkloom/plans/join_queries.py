@@ -100,7 +100,7 @@ def trial_matrix(spark, d):
     """Providers by sources: two small dimensions make the grid, facts are counted before they meet it."""
     t = table(spark, d, "trial_results").select("trial_id", "provider_name", "task_id")
     facts = t.join(table(spark, d, "programs").select("task_id", "source_name").distinct(), "task_id").groupBy("provider_name", "source_name").agg(F.countDistinct("trial_id").alias("n"))
-    grid = t.where("provider_name is not null").select("provider_name").distinct().crossJoin(table(spark, d, "task_sources").select("source_name"))
+    grid = J.grid(t.where("provider_name is not null").select("provider_name").distinct(), table(spark, d, "task_sources").select("source_name"))
     return grid.join(facts, ["provider_name", "source_name"], "left").select("provider_name", "source_name", F.coalesce("n", F.lit(0)).alias("n_trials"))
 
 

@@ -10,6 +10,7 @@ from ..operators import dedup as D
 from ..operators import gates as G
 from ..operators import harvest as H
 from ..operators import ranks as R
+from ..operators import select as S
 from ..operators import splits as P
 from .corpus_queries import _IFD, _STRUCT, _proxy
 from .registry import query, table
@@ -154,6 +155,26 @@ def throughput(spark, d):
     return t.select("provider_name", F.col("n").alias("n_done"), F.round(F.col("n") * 3600.0 / F.nullif(s, F.lit(0.0)), 4).alias("per_hour"), F.round((20000 - F.col("n")) * s / F.col("n"), 2).alias("seconds_left"))
 
 
+_SHARES = {"alpha": 400_000, "beta": 350_000, "gamma": 250_000}
+
+
+@query("""SELECT rec_id, CASE WHEN r * 618033989 % 1000000000 < 400000000 THEN 'alpha' WHEN r * 618033989 % 1000000000 < 750000000 THEN 'beta' ELSE 'gamma' END AS assigned FROM (SELECT rec_id, row_number() OVER (ORDER BY rec_id) AS r FROM programs)""")
+def drift_free_assignment(spark, d):
+    """Programs in order, given out so that the counts never drift from the shares."""
+    p = R.bucket_rank(table(spark, d, "programs").select("rec_id"), F.floor(F.col("rec_id") / 65536), [F.col("rec_id")], name="r")
+    return S.assigned(p, "r", _SHARES).select("rec_id", "assigned")
+
+
+@query("""WITH o AS (SELECT task_id, rec_id, differential.majority_output AS got FROM programs WHERE task_id IS NOT NULL AND differential.majority_output IS NOT NULL), f AS (SELECT task_id, min_by(got, rec_id) AS want FROM o GROUP BY 1),
+n AS (SELECT rec_id, want, got, CASE WHEN regexp_full_match(trim(want), '-?[0-9]{1,18}') THEN CAST(trim(want) AS BIGINT) END AS a, CASE WHEN regexp_full_match(trim(got), '-?[0-9]{1,18}') THEN CAST(trim(got) AS BIGINT) END AS b FROM o JOIN f USING (task_id))
+SELECT rec_id, CASE WHEN lower(want) = lower(got) THEN 'none' WHEN len(string_split(want, chr(10))) <> len(string_split(got, chr(10))) THEN 'wrong_line_count' WHEN a IS NULL OR b IS NULL THEN 'algorithm_bug' WHEN abs(a - b) = 1 THEN 'off_by_one' WHEN b = 0 AND a <> 0 THEN 'returns_zero' ELSE 'algorithm_bug' END AS difference FROM n""")
+def output_differences(spark, d):
+    """How each program's output differs from that of its task's first program (one line each in these tables)."""
+    o = table(spark, d, "programs").where("task_id is not null").select("task_id", "rec_id", F.col("differential.majority_output").alias("got")).where("got is not null")
+    f = o.groupBy("task_id").agg(F.min_by("got", "rec_id").alias("want"))
+    return o.join(f, "task_id").select("rec_id", X.difference(F.col("want"), F.col("got")).alias("difference"))
+
+
 @query()
 def python_functions(spark, d):
     """Top-level functions of the Python sources; no SQL, see tests/test_records.py."""

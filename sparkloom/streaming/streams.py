@@ -37,6 +37,34 @@ def run_once(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint:
     return q
 
 
+SPENT = "the budget is spent"
+
+
+def run_within(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, cost: str, budget: float) -> bool:
+    """Micro-batches until their cost (a column) reaches the budget; True if all that is there now was done.
+
+    The batch that comes after is refused before it is handed on, so it isn't committed: the next run begins with it.
+    """
+    from pyspark.errors import StreamingQueryException
+
+    spent = 0.0
+
+    def put(batch: DataFrame, number: int) -> None:
+        nonlocal spent
+        if spent >= budget:
+            raise RuntimeError(SPENT)
+        sink(batch, number)
+        spent += batch.agg(F.sum(cost)).first()[0] or 0.0
+
+    try:
+        run_once(df, put, checkpoint)
+    except StreamingQueryException as e:
+        if SPENT not in str(e):
+            raise
+        return False
+    return True
+
+
 def append_sink(path: str) -> Callable[[DataFrame, int], None]:
     """A batch written again after a failure replaces itself: its number is its folder."""
 

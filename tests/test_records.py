@@ -193,3 +193,40 @@ def test_exports_and_snapshots(spark, tmp_path):
         sinks.frozen(df, str(tmp_path / "f"), "id")
     sinks.phased(df, str(tmp_path / "p"), "phase")
     assert {r["phase"]: r["n_rows"] for r in spark.read.json(str(tmp_path / "p.stats")).collect()} == {"x": 1, "y": 1}
+
+
+def test_assignments_follow_their_shares(spark):
+    from sparkloom.operators import select
+
+    df = select.assigned(spark.range(1, 2001).withColumnRenamed("id", "r"), "r", {"a": 600_000, "b": 300_000, "c": 100_000})
+    who = [r["assigned"] for r in df.orderBy("r").collect()]
+    for n in (10, 100, 777, 2000):
+        for key, share in (("a", 0.6), ("b", 0.3), ("c", 0.1)):
+            assert abs(who[:n].count(key) - share * n) < 6
+
+
+def test_differences_of_outputs(spark):
+    rows = [("1\n2", "1\r\n2\n", "none"), ("1", "1\n2", "wrong_line_count"), ("5\n7", "5\n8", "off_by_one"), ("5\n7", "5\n0", "returns_zero"), ("a\n7", "b\n8", "algorithm_bug"), ("5", "9", "algorithm_bug"), (None, "1", None)]
+    df = spark.createDataFrame(rows, "w string, g string, k string")
+    assert [r[0] for r in df.select(X.difference(F.col("w"), F.col("g"))).collect()] == [k for _, _, k in rows]
+
+
+def test_a_stream_stops_at_its_budget_and_goes_on(spark, tmp_path):
+    from sparkloom.streaming import streams
+
+    for i in range(6):
+        spark.createDataFrame([(i, 2.0)], "id long, cost double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    read = lambda: streams.read(spark, str(tmp_path / "in"), "id long, cost double", 1)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    assert streams.run_within(read(), streams.append_sink(out), state, "cost", 4.0) is False
+    assert spark.read.parquet(out).count() == 2
+    assert streams.run_within(read(), streams.append_sink(out), state, "cost", 100.0) is True
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(6))
+
+
+def test_grids_are_for_small_dimensions(spark):
+    from sparkloom.operators import joins
+
+    assert joins.grid(spark.range(3), spark.range(2).withColumnRenamed("id", "b")).count() == 6
+    with pytest.raises(ValueError):
+        joins.grid(spark.range(30), spark.range(2).withColumnRenamed("id", "b"), most=10)
