@@ -12,6 +12,7 @@ from ..operators import harvest as H
 from ..operators import ranks as R
 from ..operators import select as S
 from ..operators import splits as P
+from ..operators import transpile as T
 from .corpus_queries import _IFD, _STRUCT, _proxy
 from .registry import query, table
 
@@ -181,6 +182,12 @@ def python_functions(spark, d):
     return H.python_functions(table(spark, d, "parallel_corpus"), "rec_id", "python_source")
 
 
+@query()
+def python_programs(spark, d):
+    """Python sources as programs, or why not; no SQL, see tests/test_records.py."""
+    return T.from_python(table(spark, d, "parallel_corpus"), "rec_id", "python_source")
+
+
 @query()
 def grammar_programs(spark, d):
     """A thousand programs of the grammar; no SQL, see tests/test_records.py."""

@@ -230,3 +230,19 @@ def test_grids_are_for_small_dimensions(spark):
     assert joins.grid(spark.range(3), spark.range(2).withColumnRenamed("id", "b")).count() == 6
     with pytest.raises(ValueError):
         joins.grid(spark.range(30), spark.range(2).withColumnRenamed("id", "b"), most=10)
+
+
+@pytest.mark.parametrize(
+    "source,program",
+    [
+        ("def f(a: int, b: list[str]) -> bool:\n    \"\"\"doc\"\"\"\n    c = a * 2 + len(b)\n    c += 1\n    if c >= 3 and not b[0] == 'x;':\n        return True\n    else:\n        c = 0\n    return 1 < c != 4", 'M=m;F=f(a:i64;b:[Str]):bool{let c=mut.((a*2)+b.len);c=c+1;if(((!(c<3))&(!(b[0]="x;")))){<true}el{c=0};<((1<c)&(!(c=4)))};'),
+        ("def g(n: int) -> int:\n    s = 0\n    for i in range(1, n):\n        if i % 2 == 0:\n            break\n        s = s - -i\n    while s > 9:\n        t = g(s)\n        s = t\n    return s", "M=m;F=g(n:i64):i64{let s=mut.0;lp(let i=1;i<n;i=i+1){if((i%2)=0){br};s=(s-(0-i))};lp(let w1=0;s>9;w1=0){let t=mut.g(s);s=t};<s};"),
+        ("def h(x):\n    return x", None), ("x = 1", None), ("def h(:", None), ("def k(s: str) -> str:\n    return s.title()", None),
+        ("def k(s: str, xs: list[int]) -> str:\n    t = 0\n    for x in xs:\n        t += x\n    return s.strip()[:t]", "M=m;I=str:std.str;F=k(s:Str;xs:[i64]):Str{let t=mut.0;lp(let i1=0;i1<xs.len;i1=i1+1){let x=xs[i1];t=t+x};<str.slice(str.trim(s);0;t)};"),
+    ],
+)
+def test_python_as_programs(source, program):
+    from sparkloom.operators import transpile
+
+    got, why = transpile.transpiled(source, "m")
+    assert got == program and (why is None) == (program is not None)
