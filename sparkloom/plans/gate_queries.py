@@ -144,3 +144,27 @@ def manifest_projection(spark, d):
         "rec_id", F.coalesce(F.col("validation.compiler_exit_code") == 0, F.lit(False)).alias("conformant"), F.coalesce("judge.accepted", F.lit(False)).alias("accepted"),
         F.coalesce("differential.majority_output", F.lit("")).alias("output"), F.greatest(F.size(F.coalesce("differential.languages_agreed", F.array())), F.lit(0)).cast("long").alias("n_agreed"), F.coalesce("attempts", F.lit(1)).alias("attempts"),
     )
+
+
+_CROSS_SQL = {
+    "accepted_uncompiled": "judge.accepted AND validation.compiler_exit_code <> 0",
+    "codes_without_failure": "len(validation.error_codes) > 0 AND validation.compiler_exit_code = 0",
+    "output_without_languages": "differential.majority_output IS NOT NULL AND coalesce(len(differential.languages_agreed), 0) = 0",
+    "second_version_unjudged": "version = 2 AND judge IS NULL",
+    "ingested_before_made": "ingested_at < created_at",
+    "tokens_without_source": "tk_tokens > 0 AND (tk_source IS NULL OR trim(tk_source) = '')",
+    "score_against_verdict": "judge.accepted AND judge.score < 0.5",
+    "no_attempts": "attempts < 1",
+}
+
+
+@query("SELECT rec_id, list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _CROSS_SQL.items()) + "], lambda x: x IS NOT NULL) AS faults FROM programs")
+def cross_field_faults(spark, d):
+    """Rules between the fields of a record."""
+    agreed = F.coalesce(F.size("differential.languages_agreed"), F.lit(0))
+    code, ok = F.col("validation.compiler_exit_code"), F.col("judge.accepted")
+    tests = [
+        ok & (code != 0), (F.size("validation.error_codes") > 0) & (code == 0), F.col("differential.majority_output").isNotNull() & (agreed <= 0), (F.col("version") == 2) & F.col("judge").isNull(),
+        F.col("ingested_at") < F.col("created_at"), (F.col("tk_tokens") > 0) & (F.col("tk_source").isNull() | (F.trim("tk_source") == "")), ok & (F.col("judge.score") < 0.5), F.col("attempts") < 1,
+    ]
+    return table(spark, d, "programs").select("rec_id", F.filter(F.array(*(F.when(c, n) for n, c in zip(_CROSS_SQL, tests))), lambda x: x.isNotNull()).alias("faults"))

@@ -95,3 +95,20 @@ def variant_times(spark, d):
     p = table(spark, d, "programs").select(F.coalesce(F.regexp_extract("task_id", r"(?i)v(\d+)", 1), F.lit("")).alias("variant"), "created_at")
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     return p.groupBy("variant").agg(F.count("*").alias("n_rows"), F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at"), F.floor((us(F.max("created_at")) - us(F.min("created_at"))) / 1_000_000).alias("seconds"))
+
+
+def _balance(sources: list[str]) -> list[tuple[int, str]]:
+    return [(0, "") if s.count("{") == s.count("}") and s.count("(") == s.count(")") else (1, "unbalanced") for s in sources]
+
+
+_OK = lambda t: f"CASE WHEN length(replace({t}, '{{', '')) = length(replace({t}, '}}', '')) AND length(replace({t}, '(', '')) = length(replace({t}, ')', '')) THEN 0 ELSE 1 END"
+
+
+@query(f"WITH r AS ({_steps('broken_source', W.FIXES)} FROM negative_examples WHERE broken_source IS NOT NULL), f AS (SELECT rec_id, s, {_whole(f'm{len(W.FIXES)}')} AS t FROM r) SELECT rec_id, {_OK('s')} AS before, {_OK('t')} AS after, s <> t AND {_OK('t')} = 0 AS rescued FROM f")
+def rescued_sources(spark, d):
+    """Broken sources checked, fixed and checked again by a plug-in; those that the fixes change and that pass are rescued."""
+    n = table(spark, d, "negative_examples").where("broken_source is not null").select("rec_id", F.col("broken_source").alias("s"))
+    fixed = W.rewritten(n, "s", W.FIXES).drop("fixes")
+    before = N.checked(fixed, "s", _balance).withColumnRenamed("exit_code", "before").drop("output")
+    after = N.checked(before, "text", _balance).withColumnRenamed("exit_code", "after")
+    return after.select("rec_id", "before", "after", ((F.col("s") != F.col("text")) & (F.col("after") == 0)).alias("rescued"))
