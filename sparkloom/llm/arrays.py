@@ -108,8 +108,8 @@ BITS = 1 << 29  # most bits of a filter that is broadcast: 64 MB
 
 def slice_bits(n: int, slices: int) -> int:
     """Bits of each slice of a filter of n keys: 16 a key, a power of two, BITS in all at most."""
-    most = max(BITS // slices, 8)
-    return 1 << min(max((16 * n // slices).bit_length(), 10), most.bit_length() - 1)
+    most = max(BITS // slices, 64)
+    return 1 << min(max((16 * n // slices).bit_length(), 6), most.bit_length() - 1)
 
 
 def bit_slice(keys: np.ndarray, bits: int) -> bytes:
@@ -124,41 +124,40 @@ def has_bits(filters: np.ndarray, part: np.ndarray, keys: np.ndarray) -> np.ndar
     return (filters[part, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
 
 
+SLICE_IDS = 1_000_000  # ids that one task makes a slice of a filter from, on average
+
+
 def narrowed(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs (id, text) without most rows whose id isn't among ids: a filter of at most 64 MB is broadcast.
 
     Made before a join, so that the texts it needs no more aren't shuffled; rows that stay by chance
-    fall out in the join.
+    fall out in the join. The filter is made in slices of a bounded number of ids.
     """
-    spark, slices = docs.sparkSession, 16
+    spark = docs.sparkSession
     ids = stored(ids.distinct())
-    bits = slice_bits(ids.count(), slices)
+    n = ids.count()
+    slices = max(16, -(-n // SLICE_IDS))
+    bits = slice_bits(n, slices)
 
     def key(x: np.ndarray) -> np.ndarray:
         return mix(x.astype(np.int64).view(U64) + U64(7))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": pdf["s"][:1], "bits": [bit_slice(key(pdf["id"].to_numpy()) >> U64(4), bits)]})
-
     def slots(batches):
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "s": (key(pdf["id"].to_numpy()) & U64(slices - 1)).astype(np.int64)})
+            yield pd.DataFrame({"id": pdf["id"], "s": (key(pdf["id"].to_numpy()) % U64(slices)).astype(np.int64)})
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": pdf["s"][:1], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]]).tobytes()]})
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"s": pdf["s"][:1], "bits": [bit_slice(key(pdf["id"].to_numpy()) // U64(slices), bits)]})
 
-    # ids of a slice are taken in hash groups first, so no task holds a whole slice of a large set
-    groups = F.pmod(F.xxhash64("id"), F.lit(n_parts(spark)))
-    first = ids.mapInPandas(slots, "id long, s long").groupBy("s", groups.alias("g")).applyInPandas(one, "s long, bits binary")
     filters = np.zeros((slices, bits // 8), dtype=np.uint8)
-    for r in first.groupBy("s").applyInPandas(merge, "s long, bits binary").collect():
+    for r in ids.mapInPandas(slots, "id long, s long").groupBy("s").applyInPandas(one, "s long, bits binary").collect():
         filters[r["s"]] = np.frombuffer(r["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(filters)
 
     def keep(batches):
         for b in batches:
             k = key(b.column("id").to_numpy(zero_copy_only=False))
-            ok = has_bits(shared.value, (k & U64(slices - 1)).astype(np.int64), k >> U64(4))
+            ok = has_bits(shared.value, (k % U64(slices)).astype(np.int64), k // U64(slices))
             yield b.filter(pa.array(ok))
 
     return docs.select("id", "text").mapInArrow(keep, "id long, text string")
