@@ -286,6 +286,11 @@ def test_copies(spark):
     want = {(3, 5), (3, 9), (6, 7)}
     assert set(map(tuple, canon.copies(df).collect())) == want
     assert set(map(tuple, canon.copies(df, per_salt=1).collect())) == want
+    whole, canon.HOT = canon.HOT, 2  # the groups are hot ones
+    try:
+        assert set(map(tuple, canon.copies(df, per_salt=1).collect())) == want
+    finally:
+        canon.HOT = whole
     assert {(r[0], r[1]) for r in canon.collapsed(df).collect()} == {(3, 3), (6, 2)}
     assert canon.copies(df.limit(0)).count() == 0
 
