@@ -109,6 +109,25 @@ def curriculum(spark, templates: DataFrame, count: int) -> DataFrame:
     return rows.select("i", "x.category", F.replace(F.replace("x.template", F.lit("{a}"), number("a")), F.lit("{b}"), number("b")).alias("text"))
 
 
+# Ways to make a task harder, by name: what is asked for beside it.
+DIMENSIONS = {
+    "constraint": "{task} Use no more than {n} statements.",
+    "deepen": "{task} Then explain the case of {n} elements.",
+    "concrete": "{task} Show it for the input {n}.",
+    "steps": "{task} Do it in {n} steps that are functions of their own.",
+    "breadth": "Write another task like this one, for {n} values: {task}",
+}
+
+
+def evolved(df: DataFrame, key: str, text: str, dimensions: dict[str, str] | None = None) -> DataFrame:
+    """key, dimension, text: a harder form of every text for each dimension; n is 2 to 9, from the hash of dimension and text.
+    Null texts have none."""
+    t = F.col(text)
+    n = lambda d: (F.conv(F.substring(F.sha2(F.concat(F.lit(d + ":"), t), 256), 1, 6), 16, 10).cast("long") % 8 + 2).cast("string")
+    forms = F.array(*(F.struct(F.lit(d).alias("dimension"), F.replace(F.replace(F.lit(form), F.lit("{n}"), n(d)), F.lit("{task}"), t).alias("text")) for d, form in (dimensions or DIMENSIONS).items()))
+    return df.where(t.isNotNull()).select(key, F.explode(forms).alias("x")).select(key, "x.dimension", "x.text")
+
+
 def doc_examples(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, place, code of every block in three backticks."""
     blocks = F.regexp_extract_all(text, F.lit(r"(?s)```[A-Za-z0-9_+-]*\r?\n(.*?)```"), F.lit(1))

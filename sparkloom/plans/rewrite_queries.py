@@ -112,3 +112,32 @@ def rescued_sources(spark, d):
     before = N.checked(fixed, "s", _balance).withColumnRenamed("exit_code", "before").drop("output")
     after = N.checked(before, "text", _balance).withColumnRenamed("exit_code", "after")
     return after.select("rec_id", "before", "after", ((F.col("s") != F.col("text")) & (F.col("after") == 0)).alias("rescued"))
+
+
+@query("WITH t AS (SELECT DISTINCT task_id, 'Solve ' || task_id || '.' AS t FROM programs WHERE task_id IS NOT NULL) "
+       + " UNION ALL ".join(f"SELECT task_id, '{d}' AS dimension, sha256(replace(replace('{form}', '{{n}}', (('0x' || substr(sha256('{d}:' || t), 1, 6))::BIGINT % 8 + 2)::VARCHAR), '{{task}}', t)) AS text_hash FROM t" for d, form in N.DIMENSIONS.items()))
+def evolved_tasks(spark, d):
+    """Five harder forms of every task."""
+    t = table(spark, d, "programs").where("task_id is not null").select("task_id").distinct().withColumn("t", F.concat(F.lit("Solve "), "task_id", F.lit(".")))
+    return N.evolved(t, "task_id", "t").select("task_id", "dimension", F.sha2("text", 256).alias("text_hash"))
+
+
+@query("""WITH o AS (SELECT task_id, model, rec_id, row_number() OVER (PARTITION BY task_id ORDER BY CASE WHEN starts_with(model, 'seed-large') THEN 0 WHEN starts_with(model, 'seed') THEN 1 ELSE 2 END, rec_id) AS r FROM programs WHERE task_id IS NOT NULL AND (starts_with(model, 'seed') OR starts_with(model, 'transpile'))),
+t AS (SELECT DISTINCT task_id FROM programs WHERE task_id IS NOT NULL) SELECT t.task_id, coalesce(o.model, 'default') AS model FROM t LEFT JOIN o ON o.task_id = t.task_id AND o.r = 1""")
+def task_models(spark, d):
+    """The list of tasks, each with the first open model that has solved it, by preference; else the default one."""
+    p = table(spark, d, "programs").where("task_id is not null").select("task_id", "model", "rec_id")
+    m = F.col("model")
+    rank = F.when(m.startswith("seed-large"), 0).when(m.startswith("seed"), 1).otherwise(2)
+    best = p.where(m.startswith("seed") | m.startswith("transpile")).groupBy("task_id").agg(F.min_by("model", F.struct(rank.alias("a"), "rec_id")).alias("model"))
+    return p.select("task_id").distinct().join(best, "task_id", "left").select("task_id", F.coalesce("model", F.lit("default")).alias("model"))
+
+
+@query("""WITH c AS (SELECT provider_name, sha256(coalesce(error_output, '') || ':' || coalesce(task_id, '')) AS h, bool_or(compiled) AS ok, count(*) AS n FROM trial_results WHERE provider_name IS NOT NULL GROUP BY 1, 2)
+SELECT provider_name, sum(n)::BIGINT AS n_candidates, count(*) AS n_different, round(count(*) FILTER (ok) / count(*), 6) AS pass_rate FROM c GROUP BY 1""")
+def candidate_stats(spark, d):
+    """Candidates of each provider, the different ones by hash, and the share of those that pass."""
+    t = table(spark, d, "trial_results").where("provider_name is not null")
+    h = F.sha2(F.concat(F.coalesce("error_output", F.lit("")), F.lit(":"), F.coalesce("task_id", F.lit(""))), 256)
+    c = t.groupBy("provider_name", h.alias("h")).agg(F.max("compiled").alias("ok"), F.count("*").alias("n"))
+    return c.groupBy("provider_name").agg(F.sum("n").alias("n_candidates"), F.count("*").alias("n_different"), F.round(F.count_if("ok") / F.count("*"), 6).alias("pass_rate"))

@@ -128,3 +128,20 @@ def phased(df: DataFrame, path: str, by: str) -> None:
     """JSON lines by phase, and a small table of statistics beside them."""
     jsonl(df, path, [by])
     df.groupBy(by).agg(F.count("*").alias("n_rows")).write.mode("overwrite").json(path.rstrip("/") + ".stats")
+
+
+def rewritten(spark, path: str, field: str, rules) -> DataFrame:
+    """Rewrites a text field of JSON lines by rules (functions.rewrite), string literals left alone; the files as they were stay
+    beside the new ones as ``.bak``. Returns rule, n_rows. Raises if there is a backup already."""
+    from ..functions.rewrite import rewritten as by_rules
+
+    fs, hp = _fs(spark, path)
+    if fs.exists(hp(path + ".bak")):
+        raise FileExistsError(path + ".bak")
+    old = spark.read.json(path)
+    new = stored(by_rules(old, field, rules, "_text", "_fixes"))
+    out = new.withColumn(field, F.col("_text")).select(*old.columns)
+    out.write.mode("overwrite").json(path + ".new")
+    if not (fs.rename(hp(path), hp(path + ".bak")) and fs.rename(hp(path + ".new"), hp(path))):
+        raise OSError(f"{path} could not be moved")
+    return new.select(F.explode("_fixes").alias("rule")).groupBy("rule").agg(F.count("*").alias("n_rows"))

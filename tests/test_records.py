@@ -246,3 +246,25 @@ def test_python_as_programs(source, program):
 
     got, why = transpile.transpiled(source, "m")
     assert got == program and (why is None) == (program is not None)
+
+
+def test_files_are_rewritten_with_a_backup(spark, tmp_path):
+    from sparkloom.sources import sinks
+
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1, 'a==b;"a==b"'), (2, "x"), (3, None)], "id long, s string").write.json(path)
+    got = sinks.rewritten(spark, path, "s", W.FIXES)
+    assert [tuple(r) for r in got.collect()] == [("double_equals", 1)]
+    assert {r["id"]: r["s"] for r in spark.read.json(path).collect()} == {1: 'a=b;"a==b"', 2: "x", 3: None}
+    assert spark.read.json(path + ".bak").where("id = 1").first()["s"] == 'a==b;"a==b"'
+    with pytest.raises(FileExistsError):
+        sinks.rewritten(spark, path, "s", W.FIXES)
+
+
+def test_harder_forms(spark):
+    from sparkloom.operators import generate
+
+    df = spark.createDataFrame([(1, "Sort {n} things."), (2, None)], "k long, t string")
+    got = generate.evolved(df, "k", "t", {"a": "{task} Twice.", "b": "In {n}: {task}"}).collect()
+    assert {r["k"] for r in got} == {1} and [r["text"] for r in got if r["dimension"] == "a"] == ["Sort {n} things. Twice."]
+    assert all(r["text"].endswith(": Sort {n} things.") and r["text"][3] in "23456789" for r in got if r["dimension"] == "b")
