@@ -433,3 +433,25 @@ def test_groups_have_one_row_per_document(spark):
     assert g.rec_id.is_unique and {r: int(k) for r, k in zip(g.rec_id, g.n_links) if k} == n.astype(int).to_dict()
     group = dict(zip(g.rec_id, g.group_id))
     assert all(group[a] == group[b] for a, b in zip(pairs.lo_id, pairs.hi_id))
+
+
+def test_columns_of_the_names_used_inside_do_no_harm(spark):
+    """Extra columns, repeated rows, nulls and empty tables."""
+    tasks_ = [(1, "A-ARR-0001 B-MAP-0002"), (2, "b_map_2"), (2, "b_map_2"), (3, None), (4, "")]
+    df = spark.createDataFrame(tasks_, "rec_id long, task_id string").selectExpr("*", "1 names", "2 node", "'x' `group`", "'y' group_name", "3 root", "4 u", "5 v", "6 size", "7 band")
+    assert sorted({tuple(r) for r in components.program_groups(df).collect()}) == [(1, "A-ARR-0001"), (2, "A-ARR-0001")]
+    assert {r["new_split"] for r in components.splits(df).collect()} <= {"train", "validation", "test"} and components.splits(df.limit(0)).count() == 0
+    rows = spark.createDataFrame([(1, BASE), (2, BASE.upper()), (3, None), (4, "")], "id long, text string").selectExpr("*", "1 h1", "2 h2", "3 salt", "4 n", "5 keep_id", "6 copy_id", "7 s")
+    assert [tuple(r) for r in canon.copies(rows).collect()] == [(1, 2)] and {tuple(r) for r in canon.collapsed(rows).collect()} == {(1, 2)}
+    near = spark.createDataFrame([(1, "x y z " * 9), (2, "x y z " * 10), (3, None), (4, "")], "id long, text string").selectExpr("*", "1 side", "2 cls", "3 part", "4 a", "5 b", "6 slice")
+    assert [tuple(r) for r in nearjoin.near_pairs(near).collect()] == [(1, 2)]
+    docs = spark.createDataFrame([(1, "Eins. Zwei.", "s"), (2, "", None), (3, None, "s"), (4, "Eins. Zwei.", "s")], "doc_id long, text string, source string")
+    docs = docs.selectExpr("*", "1 start_pos", "2 ids", "3 n_tokens", "4 cluster", "5 source_no", "6 shard", "7 config", "8 piece")
+    assert {tuple(r) for r in sentences.sentences(docs).collect()} == {(1, 0, 5), (1, 6, 11), (4, 0, 5), (4, 6, 11)} and sentences.sentences(docs.limit(0)).count() == 0
+    if os.path.exists(bpe.vocabulary()):
+        ids = {r["doc_id"]: r["ids"] for r in bpe.encoded(docs).collect()}
+        assert ids[2] == ids[3] == [] and ids[1] == ids[4] != [] and bpe.encoded(docs.limit(0)).count() == 0
+        configs = spark.createDataFrame([("c", 64), ("none", None), ("zero", 0)], "config_name string, capacity_tokens int").selectExpr("*", "1 capacity", "2 doc_id")
+        packed = packing.containers(docs, configs, apart=True).collect()
+        assert {(r["config_name"], r["doc_id"]) for r in packed} == {("c", 1), ("c", 4)}
+        assert packing.fill(packing.containers(docs, configs, apart=True), configs, docs).first()["n_tokens"] == 2 * len(ids[1])
