@@ -105,14 +105,21 @@ def until_goal(df: DataFrame, by: list[str], order: list[Column], size: str, goa
     return range_rank(df, by, order, "_r", running={"_c": size}).where(F.col("_c") < goal).drop("_r", "_c")
 
 
+GROUPS = 10_000  # groups whose list is broadcast
+
+
 def interleaved(df: DataFrame, by: str, order: list[Column], name: str = "place") -> DataFrame:
     """Place from 1 when the groups of `by` take turns, in the order of their names (null last), each in its own order.
 
     A row of round r follows all rows of the rounds before, ``sum(min(n, r - 1))``, and those of its round in the groups
-    before its own. Groups are counted first; their list is a small dimension that every row gets.
+    before its own; up to GROUPS groups, every row gets their list with their sizes. Of more groups, all rows are ranked by
+    round and name.
     """
     r = range_rank(df, [by], order, "_r")
-    groups = df.groupBy(by).agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct(F.col(by).isNull().alias("last"), F.col(by).alias("g"), "n"))).alias("_g"))
+    sizes = df.groupBy(by).agg(F.count("*").alias("n"))
+    if sizes.limit(GROUPS + 1).count() > GROUPS:
+        return range_rank(r, [], [F.col("_r"), F.col(by).asc_nulls_last()], name).drop("_r")
+    groups = sizes.agg(F.array_sort(F.collect_list(F.struct(F.col(by).isNull().alias("last"), F.col(by).alias("g"), "n"))).alias("_g"))
     ahead = F.aggregate("_g", F.lit(0).cast("long"), lambda a, g: a + F.least(g["n"], F.col("_r") - 1) + F.when((g["n"] >= F.col("_r")) & ((g["last"] < F.col(by).isNull()) | ((g["last"] == F.col(by).isNull()) & (g["g"] < F.col(by)))), 1).otherwise(0))
     return r.join(F.broadcast(groups)).withColumn(name, ahead + 1).drop("_r", "_g")
 
