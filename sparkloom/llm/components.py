@@ -8,7 +8,7 @@ forest. State is written to the shared checkpoint folder every round; the driver
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranks import bucket_rank
@@ -65,23 +65,35 @@ GOLDEN = 0.6180339887498949
 LEVELS, CELLS = 64, 1024  # sizes told apart in a band, hash cells of each
 
 
+LARGE = 10_000  # a group of more than a LARGE-th of all rows is dealt before the others
+
+
 def deal(groups: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1)) -> DataFrame:
     """group_name, size, band, split: groups of one size band (powers of two) are dealt in turn.
 
     Within a band, from the largest of LEVELS sizes down and then in hash order, group k gets the place
     ``k * golden ratio`` modulo 1 of the unit line, which the shares divide; any run of groups meets the
     shares closely. Places in the order are taken in cells of a level and hash, whose counts are added
-    up, so no task ranks a band. groups: one row per record, with group_name.
+    up, so no task ranks a band. A few large groups can't meet the shares; so those come first, and the
+    others are dealt by the shares of what is then missing of each split (nothing where there is too
+    much). groups: one row per record, with group_name.
     """
     size = groups.groupBy("group_name").agg(F.count("*").alias("size"))
     size = size.withColumn("band", F.floor(F.log2("size")).cast("int")).withColumn("h", F.xxhash64(F.lit(7), "group_name"))
     width = F.expr("shiftleft(1L, band)")
     level = F.floor((2 * width - F.col("size")) * LEVELS / width).cast("long")
     cell = level * CELLS + F.shiftrightunsigned("h", 54)
-    ranked = bucket_rank(size, cell, [F.col("h"), F.col("group_name")], ["band"], "k")
-    x = ((F.col("k") - 1) * GOLDEN) % 1
-    split = F.when(x < shares[0], "train").when(x < shares[0] + shares[1], "validation").otherwise("test")
-    return ranked.select("group_name", "size", "band", split.alias("split"))
+    total = groups.count()
+    large = F.col("size") > max(total / LARGE, 1)
+    ranked = stored(bucket_rank(size, cell, [F.col("h"), F.col("group_name")], ["band"], "k").select("group_name", "size", "band", large.alias("large"), (((F.col("k") - 1) * GOLDEN) % 1).alias("x")))
+
+    def by(parts) -> Column:
+        return F.when(F.col("x") < parts[0], "train").when(F.col("x") < parts[0] + parts[1], "validation").otherwise("test")
+
+    got = {r["split"]: r["n"] for r in ranked.where("large").groupBy(by(shares).alias("split")).agg(F.sum("size").alias("n")).collect()}
+    missing = [max(0.0, share * total - got.get(name, 0)) for name, share in zip(("train", "validation", "test"), shares)]
+    rest = [m / sum(missing) for m in missing] if sum(missing) else list(shares)
+    return ranked.select("group_name", "size", "band", F.when(F.col("large"), by(shares)).otherwise(by(rest)).alias("split"))
 
 
 def splits(programs: DataFrame, shares: tuple[float, float, float] = (0.8, 0.1, 0.1)) -> DataFrame:

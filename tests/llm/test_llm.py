@@ -149,6 +149,19 @@ def test_splits_keep_groups_together(spark):
     assert 0.6 < share["train"] < 0.95 and len(share) == 3
 
 
+def test_shares_are_met_beside_large_groups(spark):
+    random.seed(6)
+    sizes = [3000, 900, 800, 300, 250] + [random.randrange(1, 60) for _ in range(200)] + [1] * 3000
+    rows = spark.createDataFrame([(f"g{i}", n) for i, n in enumerate(sizes)], "group_name string, n int").selectExpr("group_name", "explode(sequence(1, n)) i")
+    dealt = components.deal(rows).collect()
+    assert {r["group_name"]: r["size"] for r in dealt} == {f"g{i}": n for i, n in enumerate(sizes)}
+    for name, share in (("train", 0.8), ("validation", 0.1), ("test", 0.1)):
+        assert abs(sum(r["size"] for r in dealt if r["split"] == name) / sum(sizes) - share) < 0.01
+    assert components.deal(rows.limit(0)).count() == 0
+    one = components.deal(rows.where("group_name = 'g0'")).collect()
+    assert [r["split"] for r in one] == ["train"]
+
+
 def brute_spans(rows, n):
     where = {}
     for i, s in rows:
