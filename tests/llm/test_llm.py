@@ -2,6 +2,7 @@ import itertools
 import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -47,6 +48,20 @@ def test_near_pairs_are_those_of_brute_force(spark, monkeypatch, crowded, cell):
     assert set(map(tuple, nearjoin.near_pairs(df).collect())) == brute_near(rows)
 
 
+def test_pieces_of_windows_and_sketches_stay_small(spark):
+    """Bytes for each entry after compression, where nearly every entry of a document goes to another partition."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 160))), 3) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "id long, text string, side int")
+    count = nearjoin.sketch(docs, 20)
+    assert count.sum() == sum(len(t.split()) - 2 for _, t, _ in rows)
+    who, cells = nearjoin.members(docs, count, 0.7, 20)
+    pieces = nearjoin.windows(docs, count, cells, [], 0.7, 20, 200).collect()
+    size = sum(len(zlib.compress(bytes(x), 1)) for r in pieces for x in (r["docs"], r["entries"]))
+    assert size / sum(nearjoin._window(np.array([r["n"]]), 0.7)[0] for r in who.collect()) < 16
+    assert sum(len(x) for x in nearjoin._slices(count)["n"]) < 2 * nearjoin.WIDTH / 4
+
+
 def test_near_pairs_of_nothing(spark):
     with pytest.raises(ValueError):
         nearjoin.near_pairs(spark.createDataFrame([], "id long, text string"), 0.6)
