@@ -316,3 +316,29 @@ def test_far_texts_that_share_a_gram_take_no_room():
     assert tracemalloc.get_traced_memory()[1] < 30_000_000
     tracemalloc.stop()
     assert sorted(map(tuple, pairs.to_numpy())) == [(7, 8), (7, 2000), (8, 2000)]
+
+
+def test_outlines_of_all_levels_keep_every_similar_pair():
+    """Greedy deduplication rests on it: sizes of every level, beside each other, and no pair far from similar."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+    from sparkloom.storage import packed
+
+    rng = random.Random(4)
+    texts = []
+    for size in (40, 250, 290, 330, 900, 1150, 1300, 3000):
+        base = [chr(rng.randrange(97, 123)) for _ in range(size)]
+        for edits in (0, size // 60, size // 25, size // 15, size // 8):
+            t = list(base)
+            for i in rng.sample(range(size), edits):
+                t[i] = "#"
+            texts.append("".join(t))
+    doc, code, m = dedup._grams(texts, 3)
+    docs = packed(np.arange(len(texts)), m.astype("<u4"), np.ones(len(texts), "<u4"))
+    row = {"docs": [docs], "entries": [packed(np.zeros(len(texts), "<u4"), np.zeros(len(texts), "<u2"))]} | {f"x{k}": [x.tobytes()] for k, x in enumerate(dedup._outlines(doc, code, m))}
+    found = set(map(tuple, dedup._meet(pd.DataFrame(row), 0.75).to_numpy()))
+    sets = [dedup._plain(t, 3) for t in texts]
+    near = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b]) - 1e-9}
+    assert len(near) > 15 and near <= found and len(found) < 2 * len(near)
